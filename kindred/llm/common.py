@@ -49,6 +49,11 @@ def forget(*tables: DataFrame) -> None:
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def buckets_for(rows: int) -> int:
+    """Enough buckets for rows of one hot group to be read in parts of half a million."""
+    return max(RANK_BUCKETS, rows // 500_000)
+
+
 def numbered(df: DataFrame, groups: list[str], order: list[str], into: str, buckets: int = RANK_BUCKETS) -> DataFrame:
     """Adds a gapless number from 0 within each group, without ever gathering a group in one task.
 

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm.common import numbered, stored
+from kindred.llm.common import buckets_for, numbered, stored
 from kindred.llm.tokenize import END, VOCABULARY, Encoder
 
 CAPACITY, GROUPS, SMALL_SHARE = 1024, 64, 8
@@ -249,7 +249,7 @@ def place(cut: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> Dat
         i = t - first[at]
         return pd.DataFrame({"sequence_id": sequence[at] + i // copies[at], "offset": offset[at] + i % copies[at] * n})
 
-    out = numbered(cut, ["length"], ["doc_id", "piece", "start"], "__number").withColumn("__place", placed("length", "__number"))
+    out = numbered(cut, ["length"], ["doc_id", "piece", "start"], "__number", buckets_for(sum(histogram.values()))).withColumn("__place", placed("length", "__number"))
     return out.withColumns({"sequence_id": F.col("__place.sequence_id"), "offset": F.col("__place.offset")}).drop("__place", "__number")
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from kindred.llm import language_id, packing, token_counts, topk, url_filter, warc
+from kindred.llm import decontaminate, language_id, ngram_join, packing, sharding, token_counts, topk, url_filter, warc
 
 QUERIES = {
+    "op1_label_propagation_sharding": sharding.op1_label_propagation_sharding,
     "op2_url_filter": url_filter.op2_url_filter,
+    "op3_decontamination": decontaminate.op3_decontamination,
     "op4_warc_index": warc.op4_warc_index,
     "op5_exact_topk": topk.op5_exact_topk,
+    "op6_ngram_jaccard_join": ngram_join.op6_ngram_jaccard_join,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_language_id": language_id.op8_language_id,
     "op9_token_counts": token_counts.op9_token_counts,
