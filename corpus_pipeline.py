@@ -1,7 +1,67 @@
-"""Placeholder until all stages exist."""
+"""The corpus pipeline: language ID, near duplicates, decontamination, secrets, packing.
 
+Each stage takes (spark, docs, sf_dir), works on every row that the stage before it kept, and returns a DataFrame that
+is written and read again as the next one's docs. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kindred.llm.common import stored
+from kindred.llm.decontaminate import leaks
+from kindred.llm.language_id import identify
+from kindred.llm.ngram_join import jaccard_components
+from kindred.llm.packing import pack
+from kindred.llm.secret_scan import SecretFilter, redact, scan
+
+#: SQL can't express these stages; tests/llm holds them against brute force.
 ORACLE_SQL = None
+#: Below this cosine with every learned language a text is rejected; prose lies far above it.
+LEAST_SCORE = 0.2
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in a learned language: those without letters, or near to no prototype, go."""
+    judged = identify(docs.select("doc_id", "text", "lang", *(c for c in docs.columns if c not in ("doc_id", "text", "lang"))))
+    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest doc_id of each component. Documents without words are in none and stay."""
+    found = jaccard_components(docs).filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a passage of the benchmark."""
+    found = stored(leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct(), "leaks")
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces confirmed secrets; every document stays."""
+    findings = stored(scan(docs, SecretFilter.default(spark)).filter("is_secret"), "secrets")
+    return redact(docs, findings)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ranges of all documents with their places in sequences."""
+    return pack(docs)
+
+
+STAGES = [
+    ("language_id", language),
+    ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", decontaminated),
+    ("secret_scan", without_secrets),
+    ("best_fit_packing", packed),
+]
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return docs

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from kindred.llm import decontaminate, language_id, ngram_join, packing, sharding, token_counts, topk, url_filter, warc
+from kindred.llm import decontaminate, language_id, ngram_join, packing, secret_scan, sharding, token_counts, topk, url_filter, warc
 
 QUERIES = {
     "op1_label_propagation_sharding": sharding.op1_label_propagation_sharding,
+    "op10_secret_scan": secret_scan.op10_secret_scan,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_warc_index": warc.op4_warc_index,
