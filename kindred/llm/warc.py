@@ -25,6 +25,8 @@ from kindred.llm.common import fresh_path, stored
 
 #: An archive is closed once it has so many bytes; readers take archives whole.
 ROLL = 48 << 20
+#: Bytes that are inflated at once: what follows a member in its last slice is copied.
+SLICE = 1 << 14
 EPOCH = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "urlkey string, timestamp string, page_id long, archive string, start long, bytes long, run string"
@@ -68,13 +70,14 @@ def record(page_id: int, url: str | None, date: str, payload: bytes, refers_to:
 
 def members(data: bytes) -> Iterator[tuple[int, bytes]]:
     """(start, record) of each gzip member."""
-    start = 0
+    start, view = 0, memoryview(data)
     while start < len(data):
-        inflate = zlib.decompressobj(31)
-        raw = inflate.decompress(data[start:] if start == 0 else memoryview(data)[start:])
-        raw += inflate.flush()
-        yield start, raw
-        start = len(data) - len(inflate.unused_data)
+        inflate, out, at = zlib.decompressobj(31), [], start
+        while not inflate.eof and at < len(data):
+            out.append(inflate.decompress(view[at : at + SLICE]))
+            at = min(at + SLICE, len(data))
+        yield start, b"".join(out)
+        start = at - len(inflate.unused_data)
 
 
 def parse(raw: bytes) -> dict[str, Any]:
