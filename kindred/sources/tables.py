@@ -44,7 +44,7 @@ def numbered_in_order(df: DataFrame) -> DataFrame:
 
 def truth_violations(lines: DataFrame, s1_ids: DataFrame | None = None, target_ids: DataFrame | None = None) -> DataFrame:
     """rule, s1_id, detail for lines (source1_entity_id, matched_entity_ids) of a truth file that break a rule."""
-    base = lines.withColumn("items", F.when(F.trim(F.coalesce("matched_entity_ids", F.lit(""))) == "", F.array().cast("array<string>")).otherwise(F.transform(F.split("matched_entity_ids", ","), F.trim)))
+    base = lines.withColumn("items", F.when(F.trim(F.coalesce("matched_entity_ids", F.lit(""))) == "", F.array().cast("array<string>")).otherwise(F.transform(F.split("matched_entity_ids", ","), lambda x: F.trim(x))))
     s1 = F.col("source1_entity_id")
     items = base.select(s1.alias("s1_id"), F.explode("items").alias("item"))
     row = lambda df, rule, s, d: df.select(F.lit(rule).alias("rule"), s.alias("s1_id"), d.alias("detail"))
@@ -73,7 +73,7 @@ def parse_truth(lines: DataFrame, s1_ids: DataFrame | None = None, target_ids: D
         bad = truth_violations(lines, s1_ids, target_ids).orderBy("rule", "s1_id", "detail").first()
         if bad is not None:
             raise ValueError(f"{bad['rule']}: {bad['s1_id']} {bad['detail']}")
-    items = F.filter(F.transform(F.split(F.coalesce("matched_entity_ids", F.lit("")), ","), F.trim), lambda x: x != "")
+    items = F.filter(F.transform(F.split(F.coalesce("matched_entity_ids", F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
     return lines.select(F.col("source1_entity_id").alias("s1_id"), F.array_sort(F.array_distinct(items)).alias("targets"))
 
 
