@@ -145,14 +145,14 @@ def judge_urls(urls: DataFrame, rules: list[Rule], url: str = "url", default: st
     rule. Empty tables give empty results; repeated rows are judged alike; columns of the input named like a result
     column are replaced.
 
-    Rule lists up to `limit` bytes are shipped as a file and memory-mapped. Larger ones are not accepted here: split
-    them by registered domain and run each part on the urls of those domains.
+    Rule lists up to `limit` bytes are shipped as a file and memory-mapped. Larger ones are joined with the candidate
+    keys by digest and string instead.
     """
     spark = urls.sparkSession
+    parsed = urls.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     if sum(len(r.text) + 32 for r in rules) > limit:
-        raise ValueError(f"the rules take more than {limit} bytes")
+        return _joined(parsed, rules, default)
     name = _ship(spark, rules)
-    parsed = urls.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
 
     @F.pandas_udf("rule string, verdict string")
     def judged(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -165,6 +165,22 @@ def judge_urls(urls: DataFrame, rules: list[Rule], url: str = "url", default: st
     return out.withColumns({"rule": F.col("__judged.rule"), "verdict": F.coalesce("__judged.verdict", F.lit(default))}).drop("__judged")
 
 
+def _joined(parsed: DataFrame, rules: list[Rule], default: str) -> DataFrame:
+    """The same by an equi-join on (digest, host, path) of every host suffix and path prefix of distinct urls."""
+    spark = parsed.sparkSession
+    listed = spark.createDataFrame([(r.host, r.path, r.verdict) for r in rules], "rule_host string, rule_path string, verdict string")
+    listed = listed.groupBy("rule_host", "rule_path").agg(F.max("verdict").alias("verdict")).withColumn("digest", F.xxhash64("rule_host", "rule_path"))
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    lengths = F.array(*(F.lit(n) for n in sorted({len(r.path) for r in rules})))
+    keys = parsed.select("host", "path").distinct().withColumn("rule_host", F.explode(suffixes)).withColumn("n", F.explode(lengths)).filter(F.col("n") <= F.length("path"))
+    keys = keys.withColumn("rule_path", F.substr("path", F.lit(1), F.col("n"))).withColumn("digest", F.xxhash64("rule_host", "rule_path"))
+    rank = F.struct(F.length("rule_host") + F.length("rule_path"), F.length("rule_host"), "rule_host")
+    best = keys.join(listed, ["digest", "rule_host", "rule_path"]).groupBy("host", "path").agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), rank).alias("__judged"))
+    out = parsed.join(best, ["host", "path"], "left")
+    return out.withColumns({"rule": F.col("__judged.rule"), "verdict": F.coalesce("__judged.verdict", F.lit(default))}).drop("__judged")
+
+
 def _ship(spark: SparkSession, rules: list[Rule]) -> str:
     """Spark fetches files that are added to it to each executor, and does so anew when one is lost."""
     import tempfile
