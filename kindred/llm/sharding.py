@@ -1,8 +1,8 @@
 """Sharding by balanced label propagation.
 
 Documents start in shards of equal counts. In each turn a document that is linked with others counts its neighbours by
-shard and asks to move to the shard that holds most of them and still has room; a shard takes as many as its room
-allows. Documents without links have no edges to cut, so their places count as room, and they fill what is left at the
+shard and asks to move to the shard that holds most of them; a shard takes as many as ask to leave it for the others'
+shards, and as many more as it has room for. Documents without links have no edges to cut, so their places count as room, and they fill what is left at the
 end. Links are given as groups (a document belongs to any number of them, and all members of a group are neighbours),
 so a group of any size costs a row for each member, not for each pair.
 
@@ -23,6 +23,13 @@ def _order(*cols: str, seed: int) -> Column:
     return F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(1 << 30))
 
 
+def _shares(wanted: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], float]:
+    """How many of those that want to move from a to b may: as many as want the reverse, and a part of b's room."""
+    swaps = {(a, b): min(n, wanted.get((b, a), 0)) for (a, b), n in wanted.items()}
+    rest = [sum(n - swaps[a, b] for (a, b), n in wanted.items() if b == t) for t in range(len(room))]
+    return {(a, b): (swaps[a, b] + (n - swaps[a, b]) * min(1.0, room[b] / max(1, rest[b]))) / n for (a, b), n in wanted.items()}
+
+
 def propagate(docs: DataFrame, members: DataFrame, shards: int, turns: int = TURNS) -> DataFrame:
     """doc, shard for docs (doc: distinct longs, a stored table) under links members (doc, grp, stored)."""
     total = docs.count()
@@ -31,29 +38,29 @@ def propagate(docs: DataFrame, members: DataFrame, shards: int, turns: int = TUR
     sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     linked = stored(members.join(sizes.select("grp"), "grp", "left_semi"), "members")
     state = stored(linked.select("doc").distinct().withColumn("shard", F.pmod(F.xxhash64("doc"), F.lit(shards)).cast("int")), "labels")
+    leaving = [1] * shards
     for turn in range(turns):
         placed = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a shard
         room = [max(0, room_all[s] - placed.get(s, 0)) for s in range(shards)]
+        # A full shard that nobody wants to leave is closed: its neighbours look for the next best one.
+        open_to = [s for s in range(shards) if room[s] or leaving[s]]
         # Neighbours by (group, shard); one row of `shards` counts for each group.
         counts = linked.join(state, "doc").groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("n"))
         rows = counts.groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("shard", "n"))).alias("near"))
-        open_to = F.array(*(F.lit(s) for s in range(shards) if room[s])) if any(room) else None
-        if open_to is None:
-            break
         near = linked.join(rows, "grp").select("doc", "grp", F.explode("near").alias("target", "n"))
         scores = near.groupBy("doc", "target").agg(F.sum("n").alias("n"), F.min("grp").alias("grp"))
-        ranked = scores.join(state, "doc").filter(F.array_contains(open_to, F.col("target")) | (F.col("target") == F.col("shard")))
+        ranked = scores.join(state, "doc").filter(F.col("target").isin(open_to) | (F.col("target") == F.col("shard")))
         # Ties go to the same shard for all members of a group, and to different shards for different groups.
         best = ranked.groupBy("doc").agg(F.max(F.struct(F.col("n"), _order("grp", "target", seed=5).alias("o"), F.col("target"))).alias("b"), F.first("shard").alias("shard"))
         asked = stored(best.select("doc", "shard", F.col("b.target").alias("target")), "asked")
-        moves = asked.filter("target <> shard")
-        wanted = {r["target"]: r["n"] for r in moves.groupBy("target").agg(F.count(F.lit(1)).alias("n")).collect()}
+        wanted = {(r["shard"], r["target"]): r["n"] for r in asked.filter("target <> shard").groupBy("shard", "target").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a pair of shards
         if not wanted:
             forget(asked)
             break
-        share = F.element_at(F.create_map(*(F.lit(x) for s in range(shards) for x in (s, min(1.0, room[s] / max(1, wanted.get(s, 0)))))), F.col("target"))
+        leaving = [sum(n for (a, _), n in wanted.items() if a == s) for s in range(shards)]
+        share = F.element_at(F.create_map(*(F.lit(x) for (a, b), p in _shares(wanted, room).items() for x in (a * shards + b, p))), F.col("shard") * shards + F.col("target"))
         taken = _order("doc", seed=100 + turn) < share * (1 << 30)
-        before, state = state, stored(asked.select("doc", F.when((F.col("target") != F.col("shard")) & taken, F.col("target")).otherwise(F.col("shard")).alias("shard")), "labels")
+        before, state = state, stored(asked.select("doc", F.when((F.col("target") != F.col("shard")) & F.coalesce(taken, F.lit(False)), F.col("target")).otherwise(F.col("shard")).alias("shard")), "labels")
         forget(before, asked)
     # Places: linked documents keep their shard as far as its quota goes; the others fill the rest in order.
     quota = F.element_at(F.create_map(*(F.lit(x) for s in range(shards) for x in (s, room_all[s]))), F.col("shard"))
