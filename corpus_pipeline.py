@@ -18,18 +18,27 @@ from kindred.llm.secret_scan import SecretFilter, redact, scan
 
 #: SQL can't express these stages; tests/llm holds them against brute force.
 ORACLE_SQL = None
-#: Below this cosine with every learned language a text is rejected; prose lies far above it.
-LEAST_SCORE = 0.2
+#: A text of at least so many letters and a lower cosine than this with every learned language is in none of them.
+#: Prose of that length lies above 0.3; shorter texts say too little to be rejected.
+LEAST_LETTERS, LEAST_SCORE = 100, 0.2
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a learned language: those without letters, or near to no prototype, go."""
-    judged = identify(docs.select("doc_id", "text", "lang", *(c for c in docs.columns if c not in ("doc_id", "text", "lang"))))
-    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    """Drops documents without letters, and those of some length that no learned language is near to."""
+    judged = identify(docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("__row")))
+    short = F.length(F.regexp_replace("text", r"\P{L}+", "")) < LEAST_LETTERS
+    return judged.filter((F.col("lang_pred") != "und") & ((F.col("score") >= LEAST_SCORE) | short)).select("__row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each component. Documents without words are in none and stay."""
+    """Keeps the smallest doc_id of each component, and one of rows that repeat a doc_id and its text.
+
+    Documents without words are in no component and stay, as do rows with a null doc_id.
+    """
+    repeated = stored(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null").select("doc_id"), "repeated")
+    if not repeated.isEmpty():
+        once = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+        docs = docs.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(once)
     found = jaccard_components(docs).filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
