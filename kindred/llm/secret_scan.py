@@ -234,7 +234,8 @@ def scan(docs: DataFrame, judge: SecretFilter, id_col: str = "doc_id", text: str
 def redact(docs: DataFrame, findings: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """docs with their confirmed secrets replaced and n_chars set anew; all other columns and rows stay as they are.
 
-    A document's findings are gathered in its row, so they are bounded by its length.
+    A document's findings are gathered in its row, so they are bounded by its length. doc_id identifies a text; rows that
+    repeat it with the same text are all changed.
     """
     spans = findings.filter("is_secret and doc_id is not null").groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__spans"))
     joined = docs.join(spans, "doc_id", "left")
