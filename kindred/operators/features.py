@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.functions import fixed
@@ -157,6 +157,17 @@ class FrequencyStore:
         self.compact = records.filter("name_compact <> ''").groupBy(_c("name_compact").alias("k")).agg(count)
         self.country = records.filter("name_compact <> '' and country <> ''").groupBy(F.concat_ws("|", "country", "name_compact").alias("k")).agg(count)
 
+    def save(self, path: str) -> None:
+        for part in ("name", "compact", "country"):
+            getattr(self, part).write.mode("overwrite").parquet(f"{path}/{part}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FrequencyStore:
+        store = cls.__new__(cls)
+        for part in ("name", "compact", "country"):
+            setattr(store, part, spark.read.parquet(f"{path}/{part}"))
+        return store
+
     def attach(self, pairs: DataFrame) -> DataFrame:
         """Adds the six frequencies; unseen names count 0. Both sides look up the same three tables."""
         for table, suffix, key in ((self.name, "name", lambda s: _c(f"{s}_name_norm")), (self.compact, "compact", lambda s: _c(f"{s}_name_compact")), (self.country, "country_name", lambda s: F.concat_ws("|", f"{s}_country", f"{s}_name_compact"))):

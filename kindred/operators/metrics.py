@@ -232,3 +232,20 @@ def error_categories(scored: DataFrame, threshold: float = fixed.MATCH_THRESHOLD
     cols = [c for c in sums.columns if ":" in c]
     rows = F.explode(F.array(*(F.struct(F.lit(c.split(":")[0]).alias("kind"), F.lit(c.split(":")[1]).alias("category"), _c(f"`{c}`").cast("long").alias("n")) for c in cols)))
     return sums.select(rows.alias("r")).select("r.*")
+
+
+def candidate_diagnostics(anchors: DataFrame, candidates: DataFrame, thresholds: Sequence[float] = (0.15, 0.25, 0.5, 0.7, 0.9)) -> DataFrame:
+    """One row: distribution of candidates per anchor, quantiles of their scores, and how many reach each threshold.
+
+    anchors: s1_id; candidates: s1_id, target_id, score.
+    """
+    per = anchors.select("s1_id").join(candidates.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n")), "s1_id", "left").fillna(0, ["n"])
+    counts = per.agg(
+        F.avg("n").alias("mean"), *(F.percentile("n", F.lit(p)).alias(k) for k, p in (("median", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99))),
+        F.max("n").alias("max"), F.avg((_c("n") == 0).cast("double")).alias("zero_share"),
+    )
+    scores = candidates.agg(
+        F.count(F.lit(1)).alias("n_pairs"), *(F.percentile("score", F.lit(p / 100)).alias(f"score_p{p:02d}") for p in (1, 5, 25, 50, 75, 95, 99)),
+        *(F.count_if(_c("score") >= t).alias(f"at_least_{round(100 * t)}") for t in thresholds),
+    )
+    return counts.join(scores, F.lit(True))

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kindred.functions import fixed
 from kindred.operators import blocking, features, model, normalize, refine
@@ -59,5 +60,5 @@ class LinkagePipeline:
 
 def one_anchor_per_target(matches: DataFrame) -> DataFrame:
     """Keeps each target's most probable anchor (ties to the smaller id): for sources where a target has one anchor."""
-    best = matches.groupBy("target_id").agg(F.max_by(F.struct("s1_id", "prob"), F.struct("prob", F.xxhash64("s1_id"), "s1_id")).alias("b"))
-    return best.select("b.s1_id", "target_id", "b.prob")
+    best = Window.partitionBy("target_id").orderBy(F.desc("prob"), "s1_id")
+    return matches.withColumn("__k", F.row_number().over(best)).filter(F.col("__k") == 1).drop("__k")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kindred.functions import fixed, text
 from kindred.operators import blocking, diagnostics, features, metrics, model, normalize, profile, refine, split, validate
 from kindred.plans import sql
-from kindred.plans.pipeline import LinkageConfig, LinkagePipeline
+from kindred.plans.pipeline import LinkageConfig, LinkagePipeline, one_anchor_per_target
 from kindred.sources.tables import document_entities
 
 
@@ -322,6 +322,17 @@ def _(spark, sf):
     return a.select("feature", F.round(F.abs("label_correlation"), 4).alias("r")).orderBy(F.desc("r"), "feature").limit(10)
 
 
+@_query("candidate_diagnostics", sql.DIAGNOSTICS)
+def _(spark, sf):
+    p = _pipe(spark, sf)
+    return _rounded(metrics.candidate_diagnostics(p.anchors.select(_c("entity_id").alias("s1_id")), p.candidates().withColumn("score", F.round("score", 6))))
+
+
+@_query("one_anchor_per_target", "SELECT s1_id, target_id, round(score, 9) AS prob FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY round(score, 9) DESC, s1_id) AS k FROM cands) WHERE k = 1")
+def _(spark, sf):
+    return one_anchor_per_target(_pipe(spark, sf).candidates().select("s1_id", "target_id", _r("score").alias("prob")))
+
+
 # Splits, profiles, checks.
 @_query("split_md5", sql.SPLIT)
 def _(spark, sf):

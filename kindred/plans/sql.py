@@ -378,3 +378,10 @@ VIOLATIONS = """WITH s AS (SELECT entity_id AS s1, seq FROM ents WHERE source =
 SELECT f || '_not_sorted' AS rule, a.s1 AS s1_id, a.line::VARCHAR AS detail FROM files a JOIN (SELECT f, line + 1 AS line, s1 AS above FROM files) b USING (f, line) WHERE a.s1 < above
 UNION ALL SELECT f || '_unknown_target', s1, item FROM items WHERE item NOT IN (SELECT entity_id FROM pool)
 UNION ALL SELECT 'match_not_in_candidates', s1, NULL FROM cl JOIN ml USING (s1) WHERE len(list_filter(ml.items, lambda x: NOT list_contains(cl.items, x))) > 0"""
+DIAGNOSTICS = """WITH per AS (SELECT t.s1_id, count(c.target_id) AS n FROM truth t LEFT JOIN cands c USING (s1_id) GROUP BY 1), s AS (SELECT round(score, 6) AS score FROM cands)
+SELECT round(avg(n), 9) AS mean, round(quantile_cont(n, 0.5), 9) AS median, round(quantile_cont(n, 0.9), 9) AS p90, round(quantile_cont(n, 0.95), 9) AS p95, round(quantile_cont(n, 0.99), 9) AS p99, max(n) AS max,
+ round(avg((n = 0)::INT), 9) AS zero_share, """ + ", ".join(
+    ["(SELECT count(*) FROM s) AS n_pairs"]
+    + [f"(SELECT round(quantile_cont(score, {p / 100}), 9) FROM s) AS score_p{p:02d}" for p in (1, 5, 25, 50, 75, 95, 99)]
+    + [f"(SELECT count(*) FILTER (score >= {t}e0) FROM s) AS at_least_{round(100 * t)}" for t in (0.15, 0.25, 0.5, 0.7, 0.9)]
+) + " FROM per"
