@@ -1,20 +1,56 @@
-"""Connected components by alternating large-star and small-star steps."""
+"""Connected components."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.common import forget, stored
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, component (the smallest node reachable) for every node of edges (a long, b long).
+#: Up to so many edges (16 MB) one task labels them all; more take star steps.
+ONE_TASK = 1 << 20
+
+
+def labelled(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node that it is connected with) of edges in memory."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[x], root[y])
+        new = root.copy()
+        np.minimum.at(new, root[x], low)
+        np.minimum.at(new, root[y], low)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        if np.array_equal(new, root):
+            return nodes, nodes[root]
+        root = new
+
+
+def _in_one_task(edges: DataFrame) -> DataFrame:
+    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat([pd.DataFrame({"a": [], "b": []}, dtype="int64"), *batches])
+        node, component = labelled(rows["a"].to_numpy(np.int64), rows["b"].to_numpy(np.int64))
+        yield pd.DataFrame({"node": node, "component": component})
+
+    return edges.select("a", "b").coalesce(1).mapInPandas(label, "node long, component long")
+
+
+def components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
+    """node, component (the smallest node reachable) for every node of edges (a long, b long; a stored table).
 
-    The number of edges never grows. Each step joins edges with their nodes' smallest neighbours and is written to the
-    shared folder; a node with very many edges is aggregated partially and its join can be split. Without edges the
-    result is empty. Nodes of loops are kept.
+    Without edges the result is empty; nodes of loops are kept. Beyond one_task edges it alternates large-star and
+    small-star steps: the number of edges never grows, each step joins edges with their nodes' smallest neighbours and
+    is written to the shared folder, and a node with very many edges is aggregated partially and its join can be split.
     """
+    if edges.count() <= one_task:
+        return _in_one_task(edges)
     current = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     nodes = current.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     before = None

@@ -9,11 +9,14 @@ sketch of s: passages that many documents share drop out first, and a class with
 isn't looked up at all.
 
 Classes that share such a hash form a group. First each class is verified against one pivot of its groups, which
-links most copies with as many comparisons as classes. Groups that still hold several components then go through
-signature trees: leaves have the OR of their sketches' bitmaps and the range of their sizes, inner nodes those of their
-children, and a dual traversal drops a pair of nodes when the shared bits, the sizes or the common component show that
-no pair below can be a new link. Groups of any size are split into chunks whose pairs are separate tasks. What is left
-is verified on whole sets, and components of the links are found with star steps. Nothing is capped.
+links most copies with as many comparisons as classes. Classes of groups that still hold several components are looked
+up again by their whole sets: a partner shares at least four fifths of a set, so one of the rarest fifth of it.
+
+What these groups leave goes through signature trees: leaves have the bitmap of a set's hashes and its size, inner nodes
+the OR of their children's bitmaps and the range of their sizes, and a dual traversal drops a pair of nodes when the
+shared bits, the sizes or the common component show that no pair below can be a new link. Groups of any size are split
+into chunks whose pairs are separate tasks, and a pair comes from the rarest hash that it shares alone. What is left is
+verified on whole sets, and components of the links are found with star steps. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -26,13 +29,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from kindred.llm.common import forget, stored
+from kindred.llm.common import stored
 from kindred.llm.components import components
 from kindred.llm.wordhash import chunks, shingle_sets
 
-N, SKETCH, LEAST, BITS, FANOUT, CHUNK_ROWS, PIVOT_ROUNDS = 5, 48, 14, 512, 8, 1024, 3
+N, SKETCH, LEAST, BITS, FANOUT, CHUNK_ROWS, PIVOT_ROUNDS = 5, 48, 14, 2048, 8, 1024, 2
 #: The threshold: PERCENT * union <= 100 * intersection. The bounds below hold for 80 and more.
 PERCENT = 80
 
@@ -42,31 +44,47 @@ def required(n: Column) -> Column:
     return F.least(F.ceil(n * 0.8), F.greatest(F.lit(LEAST), F.lit(SKETCH) - F.floor(n / 4))).cast("int")
 
 
-def _bitmap(sketch: np.ndarray) -> bytes:
+def _bitmap(hashes: np.ndarray) -> bytes:
     bits = np.zeros(BITS, dtype=np.uint8)
-    bits[(sketch >> np.uint64(20)) % np.uint64(BITS)] = 1
+    bits[(hashes >> np.uint64(20)) % np.uint64(BITS)] = 1
     return np.packbits(bits).tobytes()
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = N) -> DataFrame:
-    """doc_id, n_shingles, set (16 bytes that name the set), sketch, bitmap of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set", pa.binary()), ("sketch", pa.list_(pa.int64())), ("bitmap", pa.binary())])
+    """doc_id, n_shingles, set (16 bytes that name the set), sketch of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set", pa.binary()), ("sketch", pa.list_(pa.int64()))])
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for at, data, ends in chunks(batch.column(1)):
-                sizes, names, small, maps = [], [], [], []
+                sizes, names, small = [], [], []
                 for s in shingle_sets(data, ends, n):
                     sizes.append(len(s))
                     names.append(xxhash.xxh3_128_digest(s.tobytes()))
                     small.append(s[:SKETCH].view(np.int64))
-                    maps.append(_bitmap(s[:SKETCH]))
-                offsets = np.cumsum([0, *map(len, small)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(small) if small else np.empty(0, dtype=np.int64)))
-                yield pa.RecordBatch.from_arrays([ids.slice(at, len(sizes)), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), lists, pa.array(maps, pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([ids.slice(at, len(sizes)), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), _lists(small)], schema=schema)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(sketched, "doc_id long, n_shingles long, set binary, sketch array<long>, bitmap binary")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(sketched, "doc_id long, n_shingles long, set binary, sketch array<long>")
+
+
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows) if rows else np.empty(0, dtype=np.int64)))
+
+
+def whole_sets(texts: DataFrame, n: int = N) -> DataFrame:
+    """rep, n, tokens (the whole set), bitmap of texts (rep, text)."""
+    schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64())), ("bitmap", pa.binary())])
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, data, ends in chunks(batch.column(1)):
+                sets = list(shingle_sets(data, ends, n))
+                columns = [batch.column(0).slice(at, len(sets)), pa.array(map(len, sets), pa.int64()), _lists([s.view(np.int64) for s in sets]), pa.array(map(_bitmap, sets), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return texts.select("rep", "text").mapInArrow(hashed, "rep long, n long, tokens array<long>, bitmap binary")
 
 
 def similar(pairs: DataFrame, texts: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -94,12 +112,13 @@ def similar(pairs: DataFrame, texts: DataFrame, n: int = N, percent: int = PERCE
 class SignatureTree:
     """Levels of nodes, leaves first. A leaf is one class."""
 
-    def __init__(self, maps: np.ndarray, sizes: np.ndarray, need: np.ndarray, spare: np.ndarray, comps: np.ndarray) -> None:
-        level = maps, sizes, sizes, need, spare, comps, comps
+    def __init__(self, maps: np.ndarray, sizes: np.ndarray, spare: np.ndarray, comps: np.ndarray) -> None:
+        """spare: how many hashes of a set fell on bits that others had set."""
+        level = maps, sizes, sizes, spare, comps, comps
         self.levels = [level]
         while len(level[0]) > 1:
             at = np.arange(0, len(level[0]), FANOUT)
-            reduce = (np.bitwise_or, np.minimum, np.maximum, np.minimum, np.maximum, np.minimum, np.maximum)
+            reduce = (np.bitwise_or, np.minimum, np.maximum, np.maximum, np.minimum, np.maximum)
             level = tuple(f.reduceat(x, at, axis=0) for f, x in zip(reduce, level, strict=True))
             self.levels.append(level)
 
@@ -107,9 +126,7 @@ class SignatureTree:
     def of(rows: pd.DataFrame) -> SignatureTree:
         maps = np.frombuffer(b"".join(rows["bitmap"]), dtype=np.uint64).reshape(len(rows), BITS // 64)
         sizes = rows["n"].to_numpy(np.int64)
-        in_sketch = np.minimum(sizes, SKETCH)
-        need = np.minimum(-(-4 * sizes // 5), np.maximum(LEAST, SKETCH - sizes // 4))
-        return SignatureTree(maps, sizes, need, in_sketch - np.bitwise_count(maps).sum(1).astype(np.int64), rows["comp"].to_numpy(np.int64))
+        return SignatureTree(maps, sizes, sizes - np.bitwise_count(maps).sum(1).astype(np.int64), rows["comp"].to_numpy(np.int64))
 
 
 def dual_traversal(x: SignatureTree, y: SignatureTree, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -131,13 +148,14 @@ def dual_traversal(x: SignatureTree, y: SignatureTree, same: bool) -> tuple[np.n
                 ok &= i <= j
             i, j = i[ok], j[ok]
         keep = []
-        for at in range(0, len(i), 1 << 16):
-            p, q = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+        for at in range(0, len(i), 1 << 14):
+            p, q = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
             ok = (5 * a[2][p] >= 4 * b[1][q]) & (5 * b[2][q] >= 4 * a[1][p])
-            ok &= ~((a[5][p] == a[6][p]) & (b[5][q] == b[6][q]) & (a[5][p] == b[5][q]))
+            ok &= ~((a[4][p] == a[5][p]) & (b[4][q] == b[5][q]) & (a[4][p] == b[4][q]))
             p, q = p[ok], q[ok]
-            overlap = np.bitwise_count(a[0][p] & b[0][q]).sum(1) + np.minimum(a[4][p], b[4][q])
-            ok[np.flatnonzero(ok)[overlap < np.maximum(a[3][p], b[3][q])]] = False
+            overlap = np.bitwise_count(a[0][p] & b[0][q]).sum(1) + np.minimum(a[3][p], b[3][q])
+            # 100 * shared >= 80 * union, so 9 * shared >= 4 * (both sizes).
+            ok[np.flatnonzero(ok)[9 * overlap < 4 * (a[1][p] + b[1][q])]] = False
             keep.append(ok)
         ok = np.concatenate(keep) if keep else np.empty(0, dtype=bool)
         i, j = i[ok], j[ok]
@@ -145,11 +163,14 @@ def dual_traversal(x: SignatureTree, y: SignatureTree, same: bool) -> tuple[np.n
 
 
 def tree_pairs(groups: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of groups (token, rep, n, comp, bitmap): those that the trees can't rule out."""
+    """Candidate pairs (a, b) of groups (token, rep, n, comp, earlier, bitmap): those that the trees can't rule out.
+
+    earlier: the keys that come before this one in the row's own; a pair that shares one of them comes from there.
+    """
     sizes = groups.groupBy("token").agg(F.count(F.lit(1)).alias("k"))
     dealt = groups.join(sizes, "token").withColumn("chunks", F.ceil(F.col("k") / CHUNK_ROWS).cast("int"))
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.select("token", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "comp", "n", "rep", "bitmap")
+    dealt = dealt.select("token", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "comp", "n", "rep", "earlier", "bitmap")
     cell = ["token", "x", "y"]
 
     def traversed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,7 +192,7 @@ def tree_pairs(groups: DataFrame) -> DataFrame:
             yield _pairs(pd.concat(held))
 
     ordered = dealt.repartition(*cell).sortWithinPartitions(*cell, "mine", "comp", "n", "rep")
-    return ordered.mapInPandas(traversed, "a long, b long").distinct()
+    return ordered.mapInPandas(traversed, "a long, b long")
 
 
 def _pairs(rows: pd.DataFrame) -> pd.DataFrame:
@@ -182,57 +203,74 @@ def _pairs(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"a": [], "b": []}, dtype="int64")
     x = SignatureTree.of(left)
     i, j = dual_traversal(x, x if own else SignatureTree.of(right), own)
+    le, re = [frozenset(x) for x in left["earlier"]], [frozenset(x) for x in right["earlier"]]
+    first = np.array([le[p].isdisjoint(re[q]) for p, q in zip(i.tolist(), j.tolist(), strict=True)], dtype=bool)
+    i, j = i[first], j[first]
     a, b = left["rep"].to_numpy()[i], right["rep"].to_numpy()[j]
     return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
 
-def _unresolved(groups: DataFrame) -> DataFrame:
-    """Rows of groups (token, rep, n, comp) that hold more than one component."""
-    mixed = groups.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
-    return groups.join(mixed, "token", "left_semi")
+def _labels(links: DataFrame) -> DataFrame:
+    return components(links).select(F.col("node").alias("rep"), "component")
+
 
+def _with_components(keys: DataFrame, labels: DataFrame) -> DataFrame:
+    return keys.join(labels, "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
 
-def _labelled(groups: DataFrame, links: DataFrame) -> DataFrame:
-    comps = components(links).select(F.col("node").alias("rep"), F.col("component").alias("found"))
-    return groups.drop("comp").join(comps, "rep", "left").withColumn("comp", F.coalesce("found", "rep")).drop("found")
 
+def _mixed(keys: DataFrame, turn: int = 0) -> DataFrame:
+    """token, pivot, pc, pn of groups with several components: one class of each, and its component and size."""
+    first = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), F.col("rep").alias("pivot"), F.col("comp").alias("pc"), F.col("n").alias("pn"))).alias("p")
+    return keys.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), first).filter("lo <> hi").select("token", "p.pivot", "p.pc", "p.pn")
 
-def _comparable() -> Column:
-    return 5 * F.least("n", "pn") >= 4 * F.greatest("n", "pn")
 
+def rarest(sets: DataFrame, places: Column) -> DataFrame:
+    """rep, n, token, earlier: the first `places` tokens of each set (rep, n, tokens) in the order by rarity.
 
-def join_classes(reps: DataFrame, docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) that connect all classes which are connected by links. reps: rep, n, sketch, bitmap (stored);
-    docs: rep, text."""
-    spark = reps.sparkSession
-    tokens = reps.select("rep", "n", F.explode("sketch").alias("token"))
+    Tokens of one set alone come first; they use up places and are not returned. earlier: the returned ones before it.
+    """
+    tokens = sets.select("rep", "n", F.size("tokens").alias("s"), F.explode("tokens").alias("token"))
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    in_sketch = F.least(F.col("n"), F.lit(SKETCH))
-    mine = tokens.join(common, "token").groupBy("rep").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
-    # Hashes that occur once come first in the order by rarity, so they use up the places of those that don't.
-    places = (in_sketch - required(F.col("n")) + 1) - (in_sketch - F.size("t"))
-    keys = mine.withColumn("places", places.cast("int")).filter("places > 0").select("rep", "n", F.explode(F.slice("t", 1, F.col("places"))).alias("t")).select("rep", "n", F.col("t.token").alias("token"))
-    prefix = stored(keys.withColumn("comp", F.col("rep")), "prefix")
-    groups = stored(_unresolved(prefix), "groups")
-    texts = stored(docs.join(groups.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"]), "texts")
-    links: DataFrame | None = None
-    for turn in range(PIVOT_ROUNDS):
-        if groups.isEmpty():
-            break
-        pivots = groups.groupBy("token").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), F.col("rep").alias("pivot"), F.col("comp").alias("pc"), F.col("n").alias("pn"))).alias("p")).select("token", "p.pivot", "p.pc", "p.pn")
-        met = groups.join(pivots, "token").filter((F.col("comp") != F.col("pc")) & _comparable())
-        shared = met.groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("s"))
-        best = Window.partitionBy("rep").orderBy(F.desc("s"), "pivot")  # at most SKETCH rows for each
-        pairs = shared.withColumn("k", F.row_number().over(best)).filter("k = 1").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
-        found = stored(similar(pairs, texts, n, percent), "links")
+    mine = tokens.join(common, "token").groupBy("rep").agg(F.first("n").alias("n"), F.first("s").alias("s"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
+    left = (places - (F.col("s") - F.size("t"))).cast("int")
+    kept = mine.withColumn("left", left).filter("left > 0").select("rep", "n", F.slice("t.token", 1, F.col("left")).alias("t"))
+    return kept.select("rep", "n", "t", F.posexplode("t").alias("at", "token")).select("rep", "n", "token", F.slice("t", 1, F.col("at")).alias("earlier"))
+
+
+def _pivot_pairs(keys: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each class of another component than the pivots of its groups, and the one that it meets most often."""
+    comparable = 5 * F.least("n", "pn") >= 4 * F.greatest("n", "pn")
+    met = keys.join(_mixed(keys, turn), "token").filter((F.col("comp") != F.col("pc")) & comparable)
+    return met.groupBy(F.col("rep").alias("a")).agg(F.mode("pivot", True).alias("b"))
+
+
+def join_classes(classes: DataFrame, docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """rep, component of the classes that have links. classes: rep, n, sketch (stored); docs: rep, text."""
+    spark = classes.sparkSession
+    labels = spark.createDataFrame([], "rep long, component long")
+    places = F.least(F.col("n"), F.lit(SKETCH)) - required(F.col("n")) + 1
+    keys = rarest(classes.select("rep", "n", F.col("sketch").alias("tokens")), places).select("rep", "n", "token")
+    keys = stored(keys, "keys")
+    alike = keys.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
+    texts = stored(docs.join(keys.join(alike, "token", "left_semi").select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"]), "texts")
+    links = None
+    sets = None
+    for turn in range(2 * PIVOT_ROUNDS):
+        if turn == PIVOT_ROUNDS:
+            mixed = _with_components(keys, labels)
+            left = mixed.join(_mixed(mixed).select("token"), "token", "left_semi").select("rep").distinct()
+            sets = stored(whole_sets(texts.join(left, "rep", "left_semi"), n), "sets")
+            keys = stored(rarest(sets, F.floor(F.col("n") / 5) + 1), "keys")
+        found = stored(similar(_pivot_pairs(_with_components(keys, labels), turn), texts, n, percent), "links")
         links = found if links is None else links.union(found)
-        before, groups = groups, stored(_unresolved(_labelled(groups, links)), "groups")
-        forget(before)
-    if not groups.isEmpty():
-        candidates = tree_pairs(groups.join(reps.select("rep", "bitmap"), "rep"))
-        rest = stored(similar(candidates, texts, n, percent), "links")
-        links = rest if links is None else links.union(rest)
-    return links if links is not None else spark.createDataFrame([], "a long, b long")
+        labels = stored(_labels(links), "labels")
+    if sets is None:
+        sets = stored(whole_sets(texts, n), "sets")
+        keys = stored(rarest(sets, F.floor(F.col("n") / 5) + 1), "keys")
+    groups = _with_components(keys, labels)
+    groups = groups.join(_mixed(groups).select("token"), "token", "left_semi").join(sets.select("rep", "bitmap"), "rep")
+    found = stored(similar(tree_pairs(groups), texts, n, percent), "links")
+    return _labels(found if links is None else links.union(found))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -247,10 +285,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
         raise ValueError("the sketch bounds hold for 80 percent and more")
     every = stored(sketches(docs, id_col, text, n), "sketches")
     named = every.filter("n_shingles > 0 and doc_id is not null")
-    classes = named.groupBy("set").agg(F.min(F.struct(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch", "bitmap")).alias("c"))
+    classes = named.groupBy("set").agg(F.min(F.struct(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch")).alias("c"))
     classes = stored(classes.select("set", "c.*"), "classes")
-    links = join_classes(classes, docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text).alias("text")), n, percent)
-    comps = components(links).select(F.col("node").alias("rep"), "component")
+    comps = join_classes(classes, docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text).alias("text")), n, percent)
     by_set = classes.select("set", "rep").join(comps, "rep", "left").select("set", F.coalesce("component", "rep").alias("component"))
     out = every.select("doc_id", "n_shingles", "set").join(by_set, "set", "left")
     alone = F.col("n_shingles") == 0
