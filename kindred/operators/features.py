@@ -35,6 +35,7 @@ def record_grams(records: DataFrame) -> DataFrame:
 
 
 RECORD_VIEWS = [*refine.VIEWS, "g2", "g4", "a3", "a4", "l3", "longest", "postal", "tail", "non_latin", "has_url", "has_legal", "has_dba"]
+FREQUENCY_VIEWS = ["freq_name", "freq_compact", "freq_country_name"]
 
 
 def _equal(view: str) -> Column:
@@ -168,14 +169,20 @@ class FrequencyStore:
             setattr(store, part, spark.read.parquet(f"{path}/{part}"))
         return store
 
-    def attach(self, pairs: DataFrame) -> DataFrame:
-        """Adds the six frequencies; unseen names count 0. Both sides look up the same three tables."""
-        for table, suffix, key in ((self.name, "name", lambda s: _c(f"{s}_name_norm")), (self.compact, "compact", lambda s: _c(f"{s}_name_compact")), (self.country, "country_name", lambda s: F.concat_ws("|", f"{s}_country", f"{s}_name_compact"))):
-            for s in "qt":
-                found = f"freq_{s}_{suffix}"
-                side = table.select(_c("k").alias("__k"), _c("n").cast("double").alias(found))
-                pairs = pairs.withColumn("__key", key(s)).join(side, _c("__key") == _c("__k"), "left").drop("__key", "__k").withColumn(found, F.coalesce(found, F.lit(0.0)))
-        return pairs
+    def attach(self, records: DataFrame) -> DataFrame:
+        """Adds freq_name, freq_compact and freq_country_name to records; unseen names count 0.
+
+        Slim rows are looked up, a row for each record and not for each pair, and join the records by their id.
+        """
+        found = records.select("entity_id", _c("name_norm").alias("k_name"), _c("name_compact").alias("k_compact"), F.concat_ws("|", "country", "name_compact").alias("k_country_name"))
+        for table, view in ((self.name, "name"), (self.compact, "compact"), (self.country, "country_name")):
+            found = found.join(table.select(_c("k").alias(f"k_{view}"), _c("n").cast("double").alias(f"freq_{view}")), f"k_{view}", "left")
+        counts = ["freq_name", "freq_compact", "freq_country_name"]
+        return records.join(found.select("entity_id", *counts), "entity_id").fillna(0.0, counts)
+
+
+def without_frequencies(records: DataFrame) -> DataFrame:
+    return records.withColumns({f"freq_{view}": F.lit(0.0) for view in ("name", "compact", "country_name")})
 
 
 def pair_features(pairs: DataFrame, queries: DataFrame, targets: DataFrame, store: FrequencyStore | None = None) -> DataFrame:
@@ -183,11 +190,12 @@ def pair_features(pairs: DataFrame, queries: DataFrame, targets: DataFrame, stor
 
     NaN and infinite values become 0. Without a store all frequencies are 0.
     """
-    viewed = refine.with_views(pairs, record_grams(queries), record_grams(targets), RECORD_VIEWS)
+    known = store.attach if store else without_frequencies
+    viewed = refine.with_views(pairs, known(record_grams(queries)), known(record_grams(targets)), RECORD_VIEWS + FREQUENCY_VIEWS)
     base = name_features() | address_features() | view_features() | provenance_features() | quality_features() | country_features()
     base |= {"refine_containment": refine.containment(), "refine_provenance_bypass": flag(refine.bypassed())}
+    base |= {f"freq_{s}_{view}": _c(f"{s}_freq_{view}") for s in "qt" for view in ("name", "compact", "country_name")}
     frame = viewed.withColumns(base)
-    frame = store.attach(frame) if store else frame.withColumns({f: F.lit(0.0) for f in fixed.FEATURE_GROUPS["frequency"]})
     frame = frame.withColumns(derived_features())
     source = F.substring("target_id", 1, 2)
     finite = [F.when(F.isnan(f) | (F.abs(_c(f)) == float("inf")), F.lit(0.0)).otherwise(F.coalesce(_c(f), F.lit(0.0))).alias(f) for f in fixed.FEATURES]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,12 +27,20 @@ class LinkageConfig:
 class LinkagePipeline:
     """Links anchors with targets. Both are entities: entity_id, business_name, business_address, country, seq.
 
-    Countries are part of every key, so one global join takes the place of a loop over countries.
+    Countries are part of every key, so one global join takes the place of a loop over countries. Normalised records are
+    read for keys, scores and features; they are kept in memory and on disk between these reads unless persist is
+    False, and are worked out anew where an executor is lost.
     """
 
-    def __init__(self, anchors: DataFrame, targets: DataFrame, config: LinkageConfig | None = None) -> None:
+    def __init__(self, anchors: DataFrame, targets: DataFrame, config: LinkageConfig | None = None, persist: bool = True) -> None:
         self.config = config or LinkageConfig()
         self.anchors, self.targets = normalize.normalized(anchors), normalize.normalized(targets)
+        if persist:
+            self.anchors, self.targets = (x.persist(StorageLevel.MEMORY_AND_DISK) for x in (self.anchors, self.targets))
+
+    def close(self) -> None:
+        self.anchors.unpersist()
+        self.targets.unpersist()
 
     def raw_pairs(self) -> DataFrame:
         return blocking.retrieve(self.anchors, self.targets, self.config.strategies, self.config.max_block_size)

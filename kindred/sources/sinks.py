@@ -34,6 +34,22 @@ def write_report(row: DataFrame, path: str) -> dict:
     return data
 
 
+def write_csv(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").option("header", True).csv(path)
+
+
+def markdown(rows: DataFrame, limit: int = 1000) -> str:
+    """A report table of at most `limit` rows, in order of the first column."""
+    cells = lambda xs: "| " + " | ".join("" if x is None else str(x).replace("|", "\\|") for x in xs) + " |"
+    body = [cells(r) for r in rows.orderBy(rows.columns[0]).limit(limit).collect()]
+    return "\n".join([cells(rows.columns), cells(["-"] * len(rows.columns)), *body]) + "\n"
+
+
+def write_profile(profiles: dict[str, DataFrame], path: str) -> None:
+    """One Markdown report of several profile tables, written on the driver."""
+    Path(path).write_text("\n".join(f"## {name}\n\n{markdown(rows)}" for name, rows in profiles.items()))
+
+
 def write_ids(ids: DataFrame, path: str) -> None:
     ids.select(F.col(ids.columns[0]).cast("string")).orderBy(ids.columns[0]).write.mode("overwrite").text(path)
 

@@ -51,3 +51,12 @@ def test_empty_baseline(spark):
     assert empty_candidates(spark.createDataFrame([("S1-1",)], "entity_id string")).first()["candidates"] == []
     with pytest.raises(ValueError):
         empty_candidates(spark.createDataFrame([("S1-1",)], "x string"))
+
+
+def test_reports(spark, tmp_path):
+    df = spark.createDataFrame([("b", 2), ("a|", None)], "k string, n int")
+    assert sinks.markdown(df) == "| k | n |\n| - | - |\n| a\\| |  |\n| b | 2 |\n"
+    sinks.write_profile({"one": df}, str(tmp_path / "p.md"))
+    assert (tmp_path / "p.md").read_text().startswith("## one")
+    sinks.write_csv(df, str(tmp_path / "c"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 2
