@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from kindred.llm.common import buckets_for, numbered, stored
 from kindred.llm.tokenize import END, VOCABULARY, Encoder
 
-CAPACITY, GROUPS, SMALL_SHARE = 1024, 64, 8
+CAPACITY, GROUPS, SMALL_SHARE = 1024, 128, 8
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -75,35 +75,41 @@ def configurations(sizes: list[int], demands: list[int], capacity: int) -> list[
     k = len(sizes)
     s, d = np.array(sizes), np.array(demands, dtype=float)
     basis = np.diag([capacity // n for n in sizes]).astype(float)
-    inverse = np.linalg.inv(basis)
+    inverse = np.diag([1 / (capacity // n) for n in sizes])
+    times = lambda v: (inverse * v).sum(1)  # noqa: E731  no BLAS here: its threads can block one another on a driver that has forked
+    rest = np.arange(capacity + 1)[:, None] - s[None, :]
+    rest[rest < 0] = capacity + 1  # the place of minus infinity
+    most = capacity // int(s.min())
     for _ in range(40 * k + 200):
-        worth = np.maximum(inverse.sum(0), 0)
-        best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-        for c in range(int(s.min()), capacity + 1):
-            fit = np.flatnonzero(s <= c)
-            value = best[c - s[fit]] + worth[fit]
-            j = int(value.argmax())
-            if value[j] > best[c - 1] + 1e-12:
-                best[c], last[c] = value[j], fit[j]
-            else:
-                best[c] = best[c - 1]
-        if best[capacity] <= 1 + 1e-7:
+        # The most valuable configuration at these duals: values of at most 0, 1, … items in each room.
+        worth, value, choices = np.maximum(inverse.sum(0), 0), np.zeros(capacity + 2), []
+        value[-1] = -np.inf
+        for _ in range(most):
+            found = value[rest] + worth
+            j = found.argmax(1)
+            best = found[np.arange(capacity + 1), j]
+            better = best > value[:-1] + 1e-12
+            if not better.any():
+                break
+            choices.append(np.where(better, j, -1))
+            value[:-1] = np.where(better, best, value[:-1])
+        if value[capacity] <= 1 + 1e-7:
             break
         column, c = np.zeros(k), capacity
-        while c > 0:
-            if last[c] < 0:
-                c -= 1
-            else:
-                column[last[c]] += 1
-                c -= int(s[last[c]])
-        step, amounts = inverse @ column, inverse @ d
+        for chosen in reversed(choices):
+            if chosen[c] >= 0:
+                column[chosen[c]] += 1
+                c -= int(s[chosen[c]])
+        step, amounts = times(column), times(d)
         ratio = np.where(step > 1e-9, np.maximum(amounts, 0) / np.where(step > 1e-9, step, 1), np.inf)
         out = int(ratio.argmin())
         if not np.isfinite(ratio[out]):
             break
         basis[:, out] = column
-        inverse = np.linalg.inv(basis)
-    amounts = inverse @ d
+        row = inverse[out] / step[out]
+        inverse = inverse - step[:, None] * row[None, :]
+        inverse[out] = row
+    amounts = times(d)
     return [(basis[:, j], float(amounts[j])) for j in range(k) if amounts[j] > 0]
 
 
