@@ -29,7 +29,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/kindred/{name}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/kindred-{spark.sparkContext.applicationId}"
+
+
+def sweep(spark: SparkSession) -> None:
+    """Deletes all intermediate tables of this application; call it when no result is read any more."""
+    _delete(spark, _own_dir(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -42,11 +56,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def forget(*tables: DataFrame) -> None:
     """Deletes the files of tables made by stored() that no later plan reads."""
     for df in tables:
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
         for file in df.inputFiles()[:1]:
-            folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            _delete(df.sparkSession, file.rpartition("/")[0])
 
 
 def buckets_for(rows: int) -> int:

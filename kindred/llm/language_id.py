@@ -18,11 +18,14 @@ from pyspark.sql import functions as F
 DIMENSIONS, SEED = 1024, 20240229
 #: Languages are few by nature; more distinct labels than this mean that the label column holds something else.
 MAX_LANGUAGES = 2000
-LETTERS = re.compile(r"[^\W\d_]")
 #: Trigram vectors that a worker keeps (float32). Others are bound anew when they occur.
 KEPT_TRIGRAMS = 16_384
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 class LetterVectors:
     """Vectors by code point, from a seed: any worker makes the same ones."""
 
@@ -90,7 +93,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", dimension
         vectors, sums, docs = LetterVectors(dimensions, seed), {}, {}
         for pdf in batches:
             for t, label in zip(pdf["text"], pdf["lang"], strict=True):
-                if not LETTERS.search(t):
+                if not has_letter(t):
                     continue
                 codes, counts = trigrams(t)
                 if not len(codes):
@@ -131,7 +134,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
         for texts in batches:
             langs, scores = [], []
             for t in texts:
-                if t is None or not names or not LETTERS.search(t):
+                if t is None or not names or not has_letter(t):
                     langs.append("und")
                     scores.append(0.0)
                     continue

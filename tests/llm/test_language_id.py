@@ -48,7 +48,7 @@ def test_held_out_by_checksum(spark):
 
 def test_edges(spark):
     assert identify(docs(spark, [])).count() == 0
-    rows = [(i, EN, "en") for i in range(9)] + [(20, None, "en"), (21, "", None), (22, "123 $$ _", "en"), (23, "a", None), (None, DE, "zz"), (9, EN, "en"), (9, EN, "en"), (24, (EN + " ") * 3000, None)]
+    rows = [(i, EN, "en") for i in range(9)] + [(20, None, "en"), (21, "", None), (22, "123 $$ _ ½ Ⅷ ²", "en"), (23, "a", None), (None, DE, "zz"), (9, EN, "en"), (9, EN, "en"), (24, (EN + " ") * 3000, None)]
     got = identify(docs(spark, rows)).collect()
     assert len(got) == len(rows)
     by = {r["doc_id"]: r for r in got}

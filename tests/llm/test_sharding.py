@@ -78,3 +78,15 @@ def test_full_shards_keep_the_law(spark):
 
 def test_shares_swap_and_fill():
     assert _shares({(0, 1): 10, (1, 0): 4}, [0, 3]) == {(0, 1): 0.7, (1, 0): 1.0}
+
+
+def test_intermediate_tables_can_be_swept(spark):
+    import os
+
+    from kindred.llm.common import fresh_path, sweep
+
+    stored(spark.range(3), "t")
+    folder = os.path.dirname(fresh_path(spark, "t")).removeprefix("file://")
+    assert os.listdir(folder)
+    sweep(spark)
+    assert not os.path.exists(folder)
