@@ -37,6 +37,7 @@ def train(rows: DataFrame, model: str = "MODEL-003", columns: Sequence[str] = fi
     `depth` bound the ensembles' work.
     """
     kind = MODELS.get(model, model)
+    rows = rows.select(*columns, "label")
     n = rows.count()
     weights = {}
     if balanced:
@@ -56,7 +57,11 @@ def train(rows: DataFrame, model: str = "MODEL-003", columns: Sequence[str] = fi
         stages.append(RandomForestClassifier(**common, numTrees=trees, maxDepth=depth or 14, minInstancesPerNode=5, featureSubsetStrategy="sqrt", seed=seed))
     else:
         raise ValueError(f"unknown model {model}")
-    return Pipeline(stages=stages).fit(rows)
+    used = rows.select(*columns, "label", *weights.values()).persist()  # each stage reads them anew
+    try:
+        return Pipeline(stages=stages).fit(used)
+    finally:
+        used.unpersist()
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
