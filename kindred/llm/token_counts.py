@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kindred.llm.common import stored
 from kindred.llm.tokenize import VOCABULARY, Encoder
 
 #: Lengths per block of the two-level suffix sums.
@@ -48,7 +49,7 @@ def limit_table(histogram: DataFrame) -> DataFrame:
     documents, that is the tokens of shorter documents plus L for each in the suffix. docs_over, tokens_cut: documents
     longer than L and the tokens they lose. quantile: share of documents of at most L tokens. total_docs, total_tokens:
     of all documents. Between two lengths that occur, truncated_tokens is linear: see truncated_total().
-    An empty histogram gives no rows.
+    An empty histogram gives no rows. The histogram is read twice: pass a stored table.
     """
     h = histogram.withColumns({"block": F.floor(F.col("length") / BLOCK), "tokens": F.col("length") * F.col("n_docs")})
     blocks = h.groupBy("block").agg(F.sum("n_docs").alias("bd"), F.sum("tokens").alias("bt"))
@@ -97,4 +98,4 @@ def quantile_length(table: DataFrame, share: float) -> int | None:
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text")
-    return limit_table(length_histogram(token_lengths(docs)))
+    return limit_table(stored(length_histogram(token_lengths(docs)), "histogram"))
