@@ -5,8 +5,9 @@ If so, one of the item's `edits + 1` equal segments stands unchanged in the wind
 segments that occur (nothing is lost), each of its item's size and at every shift up to the edits. A window is embedded
 by CGK random walks (a shared random bit for each step and word says whether the walk moves on), which turn a small edit
 distance into a small Hamming distance with the item's embedding. Each repetition samples a few coordinates into a key;
-windows with a key of an item in any repetition are its candidates. The number of repetitions is set so that items
-edited as much as allowed are found with the target recall. Candidates are verified by the exact edit distance.
+windows with a key of an item in any repetition are its candidates. Candidates are verified by the exact edit distance.
+Segments whose own window no key finds are verified exactly too, so the number of repetitions says only how much LSH
+leaves; no match depends on it.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from kindred.llm.wordhash import CHUNK, grams, mixed, words
 SIMILARITY, TARGET_RECALL, SAMPLED, LEAST_WORDS = 0.8, 0.99, 2, 5
 #: Items whose index is sent to workers at once; more items take more passes over the documents.
 ITEM_BLOCK = 20_000
+#: Words of regions that are verified at once.
+CELLS = 500_000
 WORD = re.compile(r"[^\W_]+")
 _NOT_WORD = re.compile(r"[\W_]+")
 _ASCII_SEPARATOR = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -77,6 +80,18 @@ def _nearest_end(item: np.ndarray, region: np.ndarray, anchored: int | None = No
     return int(row.min()), int(row.argmin())
 
 
+def _distances(items: np.ndarray, regions: np.ndarray, outside: np.ndarray) -> np.ndarray:
+    """Edit distance of each item to the nearest part of its region; places outside match nothing."""
+    place = np.arange(regions.shape[1] + 1, dtype=np.int32)
+    row = np.zeros((len(items), len(place)), dtype=np.int32)
+    for i in range(items.shape[1]):
+        new = np.empty_like(row)
+        new[:, 0] = i + 1
+        new[:, 1:] = np.minimum(row[:, :-1] + ((regions != items[:, i : i + 1]) | outside), row[:, 1:] + 1)
+        row = np.minimum.accumulate(new - place, axis=1) + place
+    return row.min(1)
+
+
 class ItemIndex:
     """Segments and LSH keys of a block of items."""
 
@@ -94,6 +109,7 @@ class ItemIndex:
             for a, b in zip(bounds, bounds[1:], strict=False):
                 segments.setdefault(b - a, []).append((int(grams(item[a:b], b - a)[0]), i, a))
         self.segments = {n: tuple(np.array(c, dtype=t) for c, t in zip(zip(*sorted(x), strict=True), (np.uint64, np.int64, np.int64), strict=True)) for n, x in segments.items()}
+        self.similarity, self.sizes = similarity, np.array([len(x) for x in self.items], dtype=np.int64)
         self.width = max(map(len, self.items), default=1)
         self.repeats = self._repeats(target) if self.items else 1
         self._set_up(self.repeats)
@@ -126,7 +142,7 @@ class ItemIndex:
         return key
 
     def _repeats(self, target: float) -> int:
-        """Enough repetitions for items that are edited as much as allowed, from up to 100 items edited at random."""
+        """Repetitions that leave little to exact verification: measured on up to 100 items edited at random."""
         rng = np.random.Generator(np.random.Philox(key=23))
         self._set_up(64)
         hits = []
@@ -149,8 +165,8 @@ class ItemIndex:
         found = np.maximum.accumulate(np.array(hits), axis=1).mean(0)
         return int(np.argmax(found >= target)) + 1 if (found >= target).any() else 64
 
-    def windows(self, hashes: np.ndarray, first: np.ndarray) -> pd.DataFrame:
-        """(text, start, size) of all windows around segments."""
+    def hits(self, hashes: np.ndarray, first: np.ndarray) -> pd.DataFrame:
+        """(text, item, start) of the places where items would begin by their segments; start may lie before the text."""
         found = []
         for n, (keys, items, offsets) in self.segments.items():
             g = grams(hashes, n)
@@ -165,22 +181,47 @@ class ItemIndex:
             text = np.searchsorted(first, pos, side="right") - 1
             inside = pos + n <= first[text + 1]
             pos, which, text = pos[inside], which[inside], text[inside]
-            item = items[which]
-            k = np.array(self.edits)[item]
-            size = np.array([len(x) for x in self.items])[item]
-            shifts = np.repeat(np.arange(len(pos)), 2 * k + 1)
-            shift = np.concatenate([np.arange(-x, x + 1) for x in k.tolist()]) if len(k) else np.empty(0, dtype=np.int64)
-            start = np.maximum(first[text][shifts], (pos - offsets[which])[shifts] + shift)
-            found.append(pd.DataFrame({"text": text[shifts], "start": start, "size": size[shifts]}))
+            found.append(pd.DataFrame({"text": text, "item": items[which], "start": pos - offsets[which]}))
         if not found:
-            return pd.DataFrame({"text": [], "start": [], "size": []}, dtype="int64")
-        out = pd.concat(found).drop_duplicates(ignore_index=True)
+            return pd.DataFrame({"text": [], "item": [], "start": []}, dtype="int64")
+        return pd.concat(found).drop_duplicates(ignore_index=True)
+
+    def windows(self, hits: pd.DataFrame, first: np.ndarray) -> pd.DataFrame:
+        """(text, start, size) of all windows around hits."""
+        text, item, start = (hits[c].to_numpy() for c in ("text", "item", "start"))
+        k, size = np.array(self.edits, dtype=np.int64)[item], self.sizes[item]
+        shifts = np.repeat(np.arange(len(text)), 2 * k + 1)
+        shift = np.concatenate([np.arange(-x, x + 1) for x in k.tolist()]) if len(k) else np.empty(0, dtype=np.int64)
+        start = np.maximum(first[text][shifts], start[shifts] + shift)
+        out = pd.DataFrame({"text": text[shifts], "start": start, "size": size[shifts]}).drop_duplicates(ignore_index=True)
         return out[out["start"] < first[out["text"] + 1]].reset_index(drop=True)
 
+    def verified(self, hits: pd.DataFrame, hashes: np.ndarray, first: np.ndarray) -> pd.DataFrame:
+        """The hits that have a match around them, by exact edit distances of many hits at once."""
+        sizes, kept = self.sizes[hits["item"].to_numpy()], []
+        for n in np.unique(sizes).tolist():
+            k = edits_allowed(n, self.similarity)
+            same, rows = np.flatnonzero(sizes == n), max(1, CELLS // (n + 2 * k))
+            for at in range(0, len(same), rows):
+                row = same[at : at + rows]
+                text, item, start = (hits[c].to_numpy()[row] for c in ("text", "item", "start"))
+                place = start[:, None] - k + np.arange(n + 2 * k)
+                outside = (place < first[text][:, None]) | (place >= first[text + 1][:, None])
+                region = hashes[np.clip(place, 0, len(hashes) - 1)]
+                which = np.array([self.items[i] for i in item.tolist()])
+                missed = np.zeros(len(row), dtype=np.int64)
+                alive = np.arange(len(row))
+                for j in range(n):  # a match lacks at most k of the item's words
+                    missed[alive] += ~((region[alive] == which[alive, j : j + 1]) & ~outside[alive]).any(1)
+                    alive = alive[missed[alive] <= k]
+                kept.append(row[alive[_distances(which[alive], region[alive], outside[alive]) <= k]])
+        return hits.iloc[np.sort(np.concatenate(kept))] if kept else hits
+
     def matches(self, texts: list[str]) -> list[tuple]:
         """(text index, item index, distance, start word, end word) of the nearest match of each item in each text."""
         hashes, first = word_hashes(texts)
-        w = self.windows(hashes, first)
+        hits = self.hits(hashes, first)
+        w = self.windows(hits, first)
         candidates: dict[tuple[int, int], list[int]] = {}
         for at in range(0, len(w), 2048):
             t, s, n = (w[c].to_numpy()[at : at + 2048] for c in ("text", "start", "size"))
@@ -191,6 +232,10 @@ class ItemIndex:
             for i, r in zip(*np.nonzero(hi > lo), strict=True):
                 for item in self.key_owner[lo[i, r] : hi[i, r]].tolist():
                     candidates.setdefault((int(t[i]), item), []).append(int(s[i]))
+        seen = {(*key, start) for key, starts in candidates.items() for start in starts}
+        left = np.array([x not in seen for x in zip(*(hits[c].tolist() for c in ("text", "item", "start")), strict=True)], dtype=bool)
+        for t, i, start in self.verified(hits[left].reset_index(drop=True), hashes, first).itertuples(index=False):
+            candidates.setdefault((t, i), []).append(start)
         out = []
         for (t, i), starts in candidates.items():
             item, k, best = self.items[i], self.edits[i], None

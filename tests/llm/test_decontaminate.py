@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from kindred.llm.decontaminate import ItemIndex, edit_match, leaks
+from kindred.llm.decontaminate import ItemIndex, edit_match, leaks, word_hashes
 
 ITEM = "the quick brown fox jumps over the lazy dog while seven small wizards quietly pack my box with five dozen jugs"
 
@@ -74,6 +74,22 @@ def test_recall_of_passages_edited_as_much_as_allowed():
     assert found >= 0.97 * len(bench)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_no_passage_is_lost_whatever_the_number_of_items(seed):
+    r = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    for n in (15, 30, 60, 200):
+        x = [r.choice(vocabulary) for _ in range(n)]
+        index = ItemIndex([7], [" ".join(x)])
+        for _ in range(10):
+            w = list(x)
+            for at in r.sample(range(n), n // 5):
+                w[at] = f"new{r.randrange(10**6)}"
+            text = " ".join([r.choice(vocabulary) for _ in range(50)] + w + [r.choice(vocabulary) for _ in range(50)])
+            assert [m[1:3] for m in index.matches([text])] == [(0, slow(x, text.split(), n // 5))]
+            assert index.matches([" ".join(w)]) == [(0, 0, *edit_match(index.items[0], word_hashes([" ".join(w)])[0]))]
+
+
 def test_edit_match():
     item, region = np.array([1, 2, 3, 4], dtype=np.uint64), np.array([9, 1, 2, 4, 9, 1, 2, 3, 4], dtype=np.uint64)
     assert edit_match(item, region) == (0, 5, 9)
