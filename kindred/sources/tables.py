@@ -77,15 +77,21 @@ def parse_truth(lines: DataFrame, s1_ids: DataFrame | None = None, target_ids: D
     return lines.select(F.col("source1_entity_id").alias("s1_id"), F.array_sort(F.array_distinct(items)).alias("targets"))
 
 
-def document_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as entities of three sources: the start of a text is the name, what follows the address."""
+def document_entities(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """Documents as entities of three sources: the start of a text is the name, what follows the address.
+
+    The view that the SQL fixes takes at most 60 characters as the name and characters 61 to 140 as the address. whole:
+    the first sentence or line is the name and all the rest the address, so that every character is in one of them.
+    """
+    name = F.regexp_extract("text", r"^[^.\n]+" if whole else r"^[^.\n]{1,60}", 0)
+    address = F.substring("text", F.length(name) + 1, F.length("text")) if whole else F.substring("text", 61, 80)
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
     source = F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"))
     return d.select(
         F.concat_ws("-", source, F.col("doc_id").cast("string")).alias("entity_id"),
         source.alias("source"),
-        F.regexp_extract("text", r"^[^.\n]{1,60}", 0).alias("business_name"),
-        F.concat_ws(" ", F.col("n_chars").cast("string"), F.substring("text", 61, 80)).alias("business_address"),
+        name.alias("business_name"),
+        F.concat_ws(" ", F.col("n_chars").cast("string"), address).alias("business_address"),
         F.col("lang").alias("country"),
         F.col("doc_id").alias("seq"),
     )
