@@ -39,7 +39,8 @@ FORMATS = [
 ]
 FORMAT = re.compile("|".join(f"(?P<{n}>{p})" for n, p in FORMATS))
 NAME = re.compile(r"(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential)s?", re.I)
-ASSIGNED = re.compile(r"""[\w.-]{0,40}["']?\s{0,4}(?:=>|:=|=|:)\s{0,4}["'`]?([A-Za-z0-9+/_.~$!@%^&*-]{8,}={0,2})""")
+#: A quoted value is taken whole; one without quotes by its usual symbols, or else up to a space, quote or bracket.
+ASSIGNED = re.compile(r"""[\w.-]{0,40}["']?\s*+(?:=>|:=|=|:)\s*+(?:"([^\s"]{8,})"|'([^\s']{8,})'|`([^\s`]{8,})`|["'`]?(?:([A-Za-z0-9+/_.~$!@%^&*#-]{8,}={0,2})|((?![=:>])[^\s"'`<>]{8,})))""")
 RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 SECRET_WORDS = ("token", "secret", "password", "passwd", "pwd", "key", "credential", "auth", "bearer", "private", "api")
 HARMLESS_WORDS = ("sha", "sha1", "sha256", "md5", "commit", "checksum", "digest", "hash", "uuid", "guid", "id", "etag", "revision", "integrity", "example", "build", "file", "src", "href", "data")
@@ -54,11 +55,11 @@ _DICTIONARY = re.compile("|".join(sorted(set(DICTIONARY), key=lambda w: (-len(w)
 def candidates(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) in order, without overlaps: known formats first, then assignments, then runs."""
     found: list[tuple[int, int, str]] = []
-    if "-" in text or "_" in text or "AKIA" in text or "ASIA" in text or "AIza" in text:
+    if "-" in text or "_" in text or "AKIA" in text or "ASIA" in text or "AIza" in text or "eyJ" in text:
         found += [(*m.span(), m.lastgroup) for m in FORMAT.finditer(text)]
     for m in NAME.finditer(text):
         if v := ASSIGNED.match(text, m.end()):
-            found.append((*v.span(1), "assigned"))
+            found.append((*v.span(v.lastindex), "assigned"))
     for m in RUN.finditer(text):
         s = m[0]
         if any(c.isdigit() for c in s) and any(c.isalpha() for c in s):

@@ -29,6 +29,17 @@ def test_candidates():
     assert len(found) == 3000 and all(x[1] <= y[0] for x, y in zip(found, found[1:], strict=False))
 
 
+def test_candidates_without_a_switch_or_a_fixed_number_of_spaces():
+    jwt = "eyJ" + "a1B2" * 5 + "." + "c3D4" * 10 + "." + "e5F6" * 10
+    assert candidates(f"Bearer {jwt} end") == [(7, 7 + len(jwt), "jwt")]
+    for value, text in [
+        ("hunter2hunter2", "password" + " " * 9 + "=" + " " * 30 + "hunter2hunter2 end"), ("ab#cdefghij", 'password = "ab#cdefghij" end'), ("abcdefgh#ij", "pwd=abcdefgh#ij end"),
+        ("ab(c)[d]{e}?f", "pwd: ab(c)[d]{e}?f end"), ("a;b,c|d\\e", "secret = 'a;b,c|d\\e' end"),
+    ]:
+        assert [(text[a:b], k) for a, b, k in candidates(text)] == [(value, "assigned")]
+    assert candidates("token::of_a_class and token==other_names") == []
+
+
 def test_held_out_findings(spark):
     labelled = labelled_findings(1200, seed=77)
     schema = "text string, start long, end long, kind string, is_secret int"
