@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm.common import stored
+from kindred.llm.common import column_name, stored
 from kindred.llm.decontaminate import leaks
 from kindred.llm.language_id import identify
 from kindred.llm.ngram_join import jaccard_components
@@ -30,29 +30,46 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.filter((F.col("lang_pred") != "und") & ((F.col("score") >= LEAST_SCORE) | short)).select("__row.*")
 
 
+def _rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a number for every row, stored so that all reads see the same ones, and the number's name."""
+    row = column_name(docs, "row")
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of each component, and one of rows that repeat a doc_id and its text.
 
-    Documents without words are in no component and stay, as do rows with a null doc_id.
+    Documents without words are in no component and stay, as do rows with a null doc_id. Different texts with one
+    doc_id are documents of their own: where there are any, rows are numbered and joined by their numbers.
     """
     repeated = stored(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null").select("doc_id"), "repeated")
     if not repeated.isEmpty():
         once = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-        docs = docs.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(once)
+        numbered, row = _rows(docs.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(once))
+        # Rows with a null doc_id get a null row, so that they are in no component.
+        asked = numbered.select(F.when(F.col("doc_id").isNotNull(), F.col(row)).alias(row), "doc_id", "text")
+        labelled = jaccard_components(asked, id_col=row).filter("component_id is not null and n_shingles > 0")
+        member = labelled.select(F.col("doc_id").alias(row), "component_id").join(numbered.select(row, F.col("doc_id").alias("id")), row)
+        member = stored(member, "components")
+        first = member.groupBy("component_id").agg(F.min(F.struct("id", row)).alias("f")).select(F.col(f"f.{row}").alias(row))
+        return numbered.join(member.select(row).join(first, row, "left_anti"), row, "left_anti").select(*docs.columns)
     found = jaccard_components(docs).filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a passage of the benchmark."""
-    found = stored(leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct(), "leaks")
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Drops documents that hold a passage of the benchmark. Rows are searched and dropped by their own numbers."""
+    numbered, row = _rows(docs)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = leaks(numbered.select(F.col(row).alias("doc_id"), "text"), items).select(F.col("doc_id").alias(row)).distinct()
+    return numbered.join(stored(found, "leaks"), row, "left_anti").select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces confirmed secrets; every document stays."""
-    findings = stored(scan(docs, SecretFilter.default(spark)).filter("is_secret"), "secrets")
-    return redact(docs, findings)
+    """Replaces confirmed secrets; every document stays. Rows are scanned and changed by their own numbers."""
+    numbered, row = _rows(docs)
+    findings = stored(scan(numbered, SecretFilter.default(spark), id_col=row).filter("is_secret"), "secrets")
+    return redact(numbered, findings, id_col=row).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -232,14 +232,14 @@ def scan(docs: DataFrame, judge: SecretFilter, id_col: str = "doc_id", text: str
     return scored.select("doc_id", "start", "end", "kind", "secret_sha256", score.alias("score"), (score >= threshold).alias("is_secret"))
 
 
-def redact(docs: DataFrame, findings: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, findings: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id") -> DataFrame:
     """docs with their confirmed secrets replaced and n_chars set anew; all other columns and rows stay as they are.
 
-    A document's findings are gathered in its row, so they are bounded by its length. doc_id identifies a text; rows that
-    repeat it with the same text are all changed.
+    A document's findings are gathered in its row, so they are bounded by its length. id_col, which scan() was given too,
+    identifies a text; rows that repeat it with the same text are all changed, and rows where it is null are not.
     """
-    spans = findings.filter("is_secret and doc_id is not null").groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__spans"))
-    joined = docs.join(spans, "doc_id", "left")
+    spans = findings.filter("is_secret and doc_id is not null").groupBy(F.col("doc_id").alias(id_col)).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__spans"))
+    joined = docs.join(spans, id_col, "left")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:

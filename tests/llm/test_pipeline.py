@@ -56,6 +56,23 @@ def test_repeated_rows_nulls_and_more_columns(spark):
     assert sorted((r["doc_id"] or 0, r["score"], r["lang_pred"]) for r in out) == [(0, 5.0, "b"), (1, 5.0, "a"), (1, 5.0, "a")]
 
 
+def test_rows_with_null_or_repeated_ids_are_treated_by_themselves(spark, folder):
+    secret = hashlib.sha1(b"y").hexdigest()
+    other = " ".join(f"word{i}" for i in range(60))
+    leak, key, clean = f"{PROSE} {ITEM}", f'{PROSE} token = "{secret}" {PROSE}', f"{other} and the rest of it"
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    row = lambda i, t: (i, t, "en", "s", len(t))
+    docs = spark.createDataFrame([row(None, leak), row(None, clean), row(7, leak), row(7, clean)], schema)
+    assert sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.decontaminated(spark, docs, folder).collect()), key=str) == [(7, clean), (None, clean)]
+    docs = spark.createDataFrame([row(None, key), row(7, key), row(7, clean)], schema)
+    out = corpus_pipeline.without_secrets(spark, docs, folder)
+    cut = key.replace(secret, "[SECRET]")
+    assert out.columns == docs.columns and sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == [(7, cut), (7, clean), (None, cut)]
+    docs = spark.createDataFrame([row(1, PROSE), row(7, PROSE), row(7, clean), row(None, PROSE)], schema)
+    out = corpus_pipeline.near_duplicates(spark, docs, folder).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in out), key=str) == [(1, PROSE), (7, clean), (None, PROSE)]
+
+
 def test_empty_table(spark, folder, tmp_path):
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(f"{tmp_path}/none/benchmark.parquet")
