@@ -95,11 +95,11 @@ def _distances(items: np.ndarray, regions: np.ndarray, outside: np.ndarray) -> n
 class ItemIndex:
     """Segments and LSH keys of a block of items."""
 
-    def __init__(self, ids: list[int], texts: list[str], similarity: float = SIMILARITY, target: float = TARGET_RECALL) -> None:
+    def __init__(self, ids: list[int], texts: list[str], similarity: float = SIMILARITY, target: float = TARGET_RECALL, least_words: int = LEAST_WORDS) -> None:
         hashes, first = word_hashes(texts)
         self.ids, self.items, self.edits = [], [], []
         for i, (a, b) in zip(ids, zip(first.tolist(), first[1:].tolist(), strict=False), strict=True):
-            if b - a >= LEAST_WORDS:
+            if b - a >= max(1, least_words):
                 self.ids.append(i)
                 self.items.append(hashes[a:b])
                 self.edits.append(edits_allowed(b - a, similarity))
@@ -266,12 +266,12 @@ def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, target: float = TARGET_RECALL) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, target: float = TARGET_RECALL, least_words: int = LEAST_WORDS) -> DataFrame:
     """A row for each document and item whose nearest passage has a similarity (1 - edits / item's words) of 0.8 or more.
 
     word_start, word_end and char_start, char_end say where the passage stands in the whole text. Null texts and null
-    ids hold nothing; items of fewer than five words identify nothing and are left out. Repeated document rows give
-    repeated results; repeated items count once. Other columns are ignored. Empty tables give an empty result.
+    ids hold nothing; items of fewer words than least_words are left out, and shorter ones than five words match only
+    whole and unedited. Repeated document rows give repeated results; repeated items count once. Other columns are ignored. Empty tables give an empty result.
     """
     spark = docs.sparkSession
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).filter("item_id is not null and text is not null").distinct()
@@ -280,7 +280,7 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, tar
 
     def searched(block: list) -> DataFrame:
         block.sort(key=lambda r: (r["item_id"], r["text"]))
-        index = spark.sparkContext.broadcast(ItemIndex([r["item_id"] for r in block], [r["text"] for r in block], similarity, target))
+        index = spark.sparkContext.broadcast(ItemIndex([r["item_id"] for r in block], [r["text"] for r in block], similarity, target, least_words))
 
         def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             x: ItemIndex = index.value
@@ -310,4 +310,4 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, tar
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), least_words=1)

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from kindred.llm.decontaminate import ItemIndex, edit_match, leaks, word_hashes
+from kindred.llm.decontaminate import ItemIndex, edit_match, leaks, op3_decontamination, word_hashes
 
 ITEM = "the quick brown fox jumps over the lazy dog while seven small wizards quietly pack my box with five dozen jugs"
 
@@ -96,6 +96,13 @@ def test_edit_match():
     assert edit_match(item, region[:5]) == (1, 1, 4)
 
 
+def test_the_query_finds_short_items_whole(spark, tmp_path):
+    docs(spark, ["Say: Who wrote Hamlet? Yes.", "who wrote hamnet", "hamlet wrote who", ITEM]).write.parquet(f"{tmp_path}/documents.parquet")
+    items(spark, "who wrote Hamlet?", "yes", ITEM, "", "!").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = sorted((r["doc_id"], r["item_id"], r["edit_distance"], r["word_start"], r["word_end"]) for r in op3_decontamination(spark, str(tmp_path)).collect())
+    assert got == [(0, 0, 0, 1, 4), (0, 1, 0, 4, 5), (3, 2, 0, 0, 21)]
+
+
 def test_edges(spark):
     assert leaks(docs(spark, []), items(spark, ITEM)).count() == 0
     assert leaks(docs(spark, [ITEM]), items(spark)).count() == 0
