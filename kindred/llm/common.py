@@ -13,10 +13,10 @@ RANK_BUCKETS = 128
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see.
+    """The folder that the driver and all executors see: what the session names in spark.checkpoint.dir.
 
-    It is what the session names in spark.checkpoint.dir. Only where that is unset (tests on one machine) a
-    local folder is chosen.
+    Where that is unset, a session on one machine gets a local folder; on a cluster nothing else is shared for sure, so
+    it is an error there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
@@ -24,6 +24,9 @@ def shared_dir(spark: SparkSession) -> str:
     held = spark.sparkContext.getCheckpointDir()
     if held:
         return held.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     spark.sparkContext.setCheckpointDir("file:///tmp/kindred-shared")
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
@@ -69,15 +72,17 @@ def numbered(df: DataFrame, groups: list[str], order: list[str], into: str, buck
     """Adds a gapless number from 0 within each group, without ever gathering a group in one task.
 
     Rows are dealt by (group, bucket); bucket counts give each bucket its start. `order` should identify a row;
-    rows that agree in it are numbered in any order among themselves. df is read twice: pass a stored table.
+    rows that agree in it are numbered in any order among themselves. Groups must not be null. df is read twice: pass a
+    stored table.
     """
-    dealt = df.withColumn("__bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    keys = [*groups, "__bucket"]
-    before = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    bucket, start, count = (column_name(df, c) for c in ("bucket", "start_of_bucket", "rows_of_bucket"))
+    dealt = df.withColumn(bucket, F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    keys = [*groups, bucket]
+    before = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias(count)).select(*keys, F.coalesce(F.sum(count).over(before), F.lit(0)).alias(start))
     within = Window.partitionBy(*keys).orderBy(*order)
-    out = dealt.join(starts, keys).withColumn(into, F.col("__start") + F.row_number().over(within) - 1)
-    return out.drop("__bucket", "__start")
+    out = dealt.join(starts, keys).withColumn(into, F.col(start) + F.row_number().over(within) - 1)
+    return out.drop(bucket, start)
 
 
 def column_name(df: DataFrame, name: str) -> str:

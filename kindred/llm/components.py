@@ -54,7 +54,7 @@ def components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     current = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     nodes = current.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     before = None
-    for _ in range(64):
+    while True:  # the number of steps is logarithmic in the longest path
         both = current.union(current.select("b", "a")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # Each larger neighbour of u moves to u's smallest neighbour.
@@ -65,7 +65,7 @@ def components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
         small = large.join(smallest, "b").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).filter("a <> b").distinct()
         after = stored(small, "edges")
         state = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if before is not None:
+        if before is not None:  # the first table is read again for the nodes
             forget(current)
         if state == before:
             current = after

@@ -22,10 +22,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm.common import buckets_for, numbered, stored
+from kindred.llm.common import buckets_for, column_name, numbered, stored
 from kindred.llm.tokenize import END, VOCABULARY, Encoder
 
 CAPACITY, GROUPS, SMALL_SHARE = 1024, 128, 8
@@ -40,21 +41,23 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:
     """One row per piece of each document's ids and the end id. A null text is like an empty one."""
+    schema = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")])
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
-        for pdf in batches:
+        for batch in batches:  # Arrow keeps ids exact beside nulls
             known: dict[str, list] = {}
-            rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
+            rows: list[tuple] = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 text = text or ""
                 if text not in known:
                     ids = np.append(encoder.encode(text), END).astype("<u4")
                     known[text] = [(k, s, n, zlib.crc32(ids[s : s + n].tobytes())) for k, (s, n) in enumerate(cuts(len(ids), capacity))]
                 rows += [(doc_id, *x) for x in known[text]]
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+            columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInPandas(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(cut, PIECES)
 
 
 @dataclass
@@ -255,8 +258,9 @@ def place(cut: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> Dat
         i = t - first[at]
         return pd.DataFrame({"sequence_id": sequence[at] + i // copies[at], "offset": offset[at] + i % copies[at] * n})
 
-    out = numbered(cut, ["length"], ["doc_id", "piece", "start"], "__number", buckets_for(sum(histogram.values()))).withColumn("__place", placed("length", "__number"))
-    return out.withColumns({"sequence_id": F.col("__place.sequence_id"), "offset": F.col("__place.offset")}).drop("__place", "__number")
+    number, spot = column_name(cut, "number"), column_name(cut, "place")
+    out = numbered(cut, ["length"], ["doc_id", "piece", "start"], number, buckets_for(sum(histogram.values()))).withColumn(spot, placed("length", number))
+    return out.withColumns({c: F.col(spot)[c] for c in ("sequence_id", "offset")}).drop(spot, number)
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, vocabulary: str = VOCABULARY) -> DataFrame:

@@ -1,9 +1,11 @@
+import bisect
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from helpers import have_data
 
 from kindred.llm import packing
 from kindred.llm.packing import END, cuts, pack, plan, sequences
@@ -40,8 +42,20 @@ def test_plans(seed):
     lengths = [shape() for _ in range(n)]
     histogram = {k: lengths.count(k) for k in set(lengths)}
     used = placed(plan(histogram, capacity), histogram, capacity)
-    best = max(-(-sum(lengths) // capacity), sum(2 * x > capacity for x in lengths))
-    assert used <= best * 1.03 + 12
+    assert used <= best_fit(lengths, capacity) * 1.006 + 2
+
+
+def best_fit(lengths, capacity):
+    """Sequences of plain best fit, longest first."""
+    free, n = [], 0
+    for x in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(free, x)
+        if at == len(free):
+            n += 1
+            bisect.insort(free, capacity - x)
+        else:
+            bisect.insort(free, free.pop(at) - x)
+    return n
 
 
 def test_plan_of_nothing_and_of_one_length():
@@ -94,6 +108,35 @@ def test_edges(spark):
     assert len(rows) == 3 and sorted(r["offset"] for r in rows) == [0, 2, 4]
 
 
+def test_ids_beside_nulls_stay_exact(spark):
+    big = 2**53 + 1
+    rows = pack(spark.createDataFrame([(big, "a"), (None, "b"), (big + 2, "c " * 2000)], "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in rows} == {big, None, big + 2}
+
+
+@pytest.mark.skipif(not have_data(), reason="no test tables")
+def test_every_text_is_encoded_as_by_tokenizers(spark):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    want = Tokenizer.from_file(public_tokenizers.path(VOCABULARY)).encode_batch(texts, add_special_tokens=False)
+    assert all(Encoder().encode(t).tolist() == w.ids for t, w in zip(texts, want, strict=True))
+
+
+@pytest.mark.skipif(not have_data(), reason="no test tables")
+def test_query_packs_a_whole_table_tightly(spark, sf):
+    rows = packing.op7_best_fit_packing(spark, sf).collect()
+    by = defaultdict(list)
+    for r in rows:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in by.values():
+        assert [o for o, _ in sorted(parts)] == np.cumsum([0, *(n for _, n in sorted(parts))])[:-1].tolist() and sum(n for _, n in parts) <= 1024
+    lengths = [r["length"] for r in rows]
+    assert {r["doc_id"] for r in rows} == {r[0] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
+    assert len(by) <= best_fit(lengths, 1024) * 1.006 + 2
+
+
 @pytest.mark.parametrize("text", ["plain words, 12's", "é à ü ß – “quoted” …", "漢字かな交じり", "à combining", "tabs\t\tand\n\n new  lines ", "🙂🙂", "", "x" * 3000, "١٢٣ عربي", "<|endoftext|>", "Ⅷ ½ №"])
 def test_encoder_equals_tokenizers(text):
     from tokenizers import Tokenizer
