@@ -41,7 +41,7 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:
     """One row per piece of each document's ids and the end id. A null text is like an empty one."""
-    schema = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")])
+    schema = pa.schema([(name, pa.int32() if kind == "int" else pa.int64()) for name, kind in map(str.split, PIECES.split(", "))])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
@@ -55,7 +55,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULA
                     known[text] = [(k, s, n, zlib.crc32(ids[s : s + n].tobytes())) for k, (s, n) in enumerate(cuts(len(ids), capacity))]
                 rows += [(doc_id, *x) for x in known[text]]
             columns = zip(*rows, strict=True) if rows else [()] * len(schema)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(cut, PIECES)
 
