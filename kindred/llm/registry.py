@@ -18,5 +18,6 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op2_url_filter": url_filter.OP2_SQL,
+    "op4_warc_index": warc.OP4_SQL,
     "op5_exact_topk": topk.OP5_SQL,
 }

@@ -15,7 +15,7 @@ import zlib
 from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,8 @@ from kindred.llm.common import fresh_path, stored
 ROLL = 48 << 20
 #: Bytes that are inflated at once: what follows a member in its last slice is copied.
 SLICE = 1 << 14
+#: Index lines that one range merges, and lines that are drawn from a piece at once.
+RANGE_ROWS, STEP = 100_000, 256
 EPOCH = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "urlkey string, timestamp string, page_id long, archive string, start long, bytes long, run string"
@@ -45,23 +47,28 @@ def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _urn(page_id: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page/{page_id}')}>"
+def _urn(name: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
 
 
-def record(page_id: int, url: str | None, date: str, payload: bytes, refers_to: int | None) -> bytes:
-    """One record as its own gzip member. A revisit has the response's headers without its payload."""
+def record(page_id: int | None, url: str | None, date: str, payload: bytes, refers_to: int | None, place: str = "") -> bytes:
+    """One record as its own gzip member. A revisit has the response's headers without its payload.
+
+    A page without an id gets its record id from `place`, where it is written.
+    """
     uri = "".join(c if " " < c < "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url or "")
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     kind = "response" if refers_to is None else "revisit"
     if refers_to is None:
         block += payload
     head = [
-        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_urn(page_id)}", f"WARC-Date: {date}", f"WARC-Target-URI: {uri}",
-        f"WARC-Payload-Digest: sha1:{sha1_base32(payload)}", f"X-Page-ID: {page_id}",
+        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_urn(f'page/{page_id}' if page_id is not None else f'place/{place}')}", f"WARC-Date: {date}", f"WARC-Target-URI: {uri}",
+        f"WARC-Payload-Digest: sha1:{sha1_base32(payload)}",
     ]
+    if page_id is not None:
+        head.append(f"X-Page-ID: {page_id}")
     if refers_to is not None:
-        head += [f"WARC-Refers-To: {_urn(refers_to)}", f"WARC-Profile: {PROFILE}", f"X-Refers-To-Page-ID: {refers_to}"]
+        head += [f"WARC-Refers-To: {_urn(f'page/{refers_to}')}", f"WARC-Profile: {PROFILE}", f"X-Refers-To-Page-ID: {refers_to}"]
     head += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
     raw = "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
     deflate = zlib.compressobj(6, zlib.DEFLATED, 31)
@@ -93,30 +100,45 @@ def parse(raw: bytes) -> dict[str, Any]:
     digest = fields["warc-payload-digest"].removeprefix("sha1:")
     if fields["warc-type"] == "response" and (len(payload) != size or sha1_base32(payload) != digest):
         raise ValueError(f"bad payload in {fields['warc-record-id']}")
-    refers = fields.get("x-refers-to-page-id")
-    return {"page_id": int(fields["x-page-id"]), "url": fields["warc-target-uri"], "payload_bytes": size, "payload_digest": digest, "record_type": fields["warc-type"], "refers_to": None if refers is None else int(refers), "payload": payload}
+    refers, page_id = fields.get("x-refers-to-page-id"), fields.get("x-page-id")
+    return {"page_id": None if page_id is None else int(page_id), "url": fields["warc-target-uri"], "payload_bytes": size, "payload_digest": digest, "record_type": fields["warc-type"], "refers_to": None if refers is None else int(refers), "payload": payload}
 
 
 def with_first_copies(pages: DataFrame, least: int = 0) -> DataFrame:
     """Adds first_id: the smallest page_id with an equal payload of at least `least` bytes, null if this is the one.
 
-    Only ids and digests are grouped; the payloads move once, dealt by page_id.
+    Only ids and digests are grouped; the payloads move once, dealt by page_id and digest.
     """
-    slim = pages.select("page_id", F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("sha"), F.octet_length(F.coalesce("html", F.lit(""))).alias("size"))
-    firsts = slim.filter(F.col("size") >= least).groupBy("sha", "size").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies")
-    revisits = slim.join(firsts, ["sha", "size"]).filter(F.col("page_id") > F.col("first_id")).select("page_id", "sha", "first_id").distinct()
-    own = pages.withColumn("sha", F.sha1(F.coalesce("html", F.lit("")).cast("binary")))
-    return own.join(revisits, ["page_id", "sha"], "left").drop("sha")
+    sha = lambda: F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("sha")
+    slim = pages.select("page_id", sha(), F.octet_length(F.coalesce("html", F.lit(""))).alias("size"))
+    firsts = slim.filter((F.col("size") >= least) & F.col("page_id").isNotNull()).groupBy("sha", "size").agg(F.min("page_id").alias("first_id"))
+    copies = slim.groupBy("sha", "size").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies")
+    known = slim.join(copies, ["sha", "size"], "left_semi").join(firsts, ["sha", "size"])
+    # A null id comes after all others, so that it revisits a page that has one.
+    revisits = known.filter(F.col("page_id").isNull() | (F.col("page_id") > F.col("first_id"))).select(F.coalesce("page_id", F.lit(-1)).alias("key"), F.col("page_id").isNull().alias("lost"), "sha", "first_id").distinct()
+    own = pages.withColumns({"sha": sha(), "key": F.coalesce("page_id", F.lit(-1)), "lost": F.col("page_id").isNull()})
+    return own.join(revisits, ["key", "lost", "sha"], "left").drop("sha", "key", "lost")
+
+
+def _schema(fields: str) -> pa.Schema:
+    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in fields.split(", "))])
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
 def write_archives(pages: DataFrame, folder: str, roll: int = ROLL) -> DataFrame:
     """Writes rows of page_id, url, html, first_id and returns the index runs.
 
     File names and contents depend on the partition's rows alone: a task that runs again writes the same archives over
-    the first ones, under a temporary name until each is whole.
+    the first ones, under a temporary name until each is whole. A null page_id has the date of page 0.
     """
+    schema = _schema(INDEX)
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         store, root = fs.FileSystem.from_uri(folder)
@@ -125,20 +147,21 @@ def write_archives(pages: DataFrame, folder: str, roll: int = ROLL) -> DataFrame
         number, file, lines, at, name = 0, None, [], 0, ""
         attempt = f"{context.taskAttemptId()}"
 
-        def close() -> pd.DataFrame:
+        def close() -> pa.RecordBatch:
             file.close()
             store.move(f"{root}/{name}.{attempt}.open", f"{root}/{name}")
-            return pd.DataFrame(sorted(lines), columns=["urlkey", "timestamp", "page_id", "archive", "start", "bytes", "run"])
+            return _batch(sorted(lines, key=_order), schema)
 
-        for pdf in batches:
-            for page_id, url, html, first in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["first_id"], strict=True):
+        for batch in batches:
+            for i in range(len(batch)):  # a row at a time: html is held once
+                page_id, url, html, first = (batch.column(c)[i].as_py() for c in range(4))
                 if file is None:
                     name = f"part-{context.partitionId():06d}-{number:05d}.warc.gz"
                     file, lines, at, number = store.open_output_stream(f"{root}/{name}.{attempt}.open", compression=None), [], 0, number + 1
-                date = (EPOCH + datetime.timedelta(seconds=int(page_id) % 10**9)).strftime("%Y-%m-%dT%H:%M:%SZ")
-                data = record(int(page_id), url, date, (html or "").encode(), None if pd.isna(first) else int(first))
+                date = (EPOCH + datetime.timedelta(seconds=(page_id or 0) % 10**9)).strftime("%Y-%m-%dT%H:%M:%SZ")
+                data = record(page_id, url, date, (html or "").encode(), first, f"{name}/{at}")
                 file.write(data)
-                lines.append((url_key(url), date, int(page_id), name, at, len(data), name))
+                lines.append((url_key(url), date, page_id, name, at, len(data), name))
                 at += len(data)
                 if at >= roll:
                     yield close()
@@ -146,35 +169,37 @@ def write_archives(pages: DataFrame, folder: str, roll: int = ROLL) -> DataFrame
         if file is not None:
             yield close()
 
-    rows = pages.filter("page_id is not null").select("page_id", "url", "html", "first_id").sortWithinPartitions("page_id", "url", "html")
-    return rows.mapInPandas(write, INDEX)
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.col("first_id").cast("long").alias("first_id"))
+    return rows.sortWithinPartitions("page_id", "url", "html").mapInArrow(write, INDEX)
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """A row per record, its length and digest checked."""
+    schema = _schema(RECORDS)
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, data in zip(pdf["path"], pdf["content"], strict=True):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):
+                path, data = batch.column(0)[k].as_py(), batch.column(1)[k].as_buffer()
                 rows, held = [], 0
                 for start, raw in members(data):
                     x = parse(raw)
                     payload = x.pop("payload")
-                    rows.append(x | {"archive": path.rpartition("/")[2], "start": start, "html": payload.decode() if x["record_type"] == "response" else None})
+                    html = payload.decode() if x["record_type"] == "response" else None
+                    rows.append((x["page_id"], x["url"], x["payload_bytes"], x["payload_digest"], x["record_type"], x["refers_to"], path.rpartition("/")[2], start, html))
                     held += len(payload)
                     if held > 16 << 20:
-                        yield _records(rows)
+                        yield _batch(rows, schema)
                         rows, held = [], 0
                 if rows:
-                    yield _records(rows)
+                    yield _batch(rows, schema)
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "content").mapInPandas(read, RECORDS)
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "content").mapInArrow(read, RECORDS)
 
 
-def _records(rows: list[dict]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=[x.split()[0] for x in RECORDS.split(", ")])
-    out["refers_to"] = out["refers_to"].astype("Int64")
-    return out
+def _order(line: tuple) -> tuple:
+    """The order of index lines: urlkey, timestamp, page_id (null last), archive, start."""
+    return line[0], line[1], line[2] is None, line[2] or 0, line[3], line[4]
 
 
 class LoserTree:
@@ -215,35 +240,53 @@ class LoserTree:
             self._replay(winner)
 
 
-def merge_runs(runs: DataFrame) -> DataFrame:
+def _ascending(table: pa.Table) -> list[tuple[int, int]]:
+    """(start, end) of the pieces of table that are in order: blocks of several runs arrive one after the other."""
+    cuts, before = [0], None
+    for at in range(0, len(table), STEP):
+        for i, line in enumerate(_lines(table, at, at + STEP), at):
+            if before is not None and line[0] < before:
+                cuts.append(i)
+            before = line[0]
+    return list(zip(cuts, [*cuts[1:], len(table)], strict=True))
+
+
+def _lines(table: pa.Table, start: int, end: int) -> Iterator[tuple]:
+    """(order, index line) of rows, read STEP at a time."""
+    for at in range(start, min(end, len(table)), STEP):
+        part = table.slice(at, min(STEP, end - at))
+        for row in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            yield _order(row), row
+
+
+def merge_runs(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """The index lines with `position`, their gapless place (from 0) in the order of urlkey, timestamp and page_id.
 
-    Lines are dealt by ranges of the whole key, so one URL with very many captures is split too. Runs must be a stored
-    table. An empty index stays empty.
+    Lines are dealt by ranges of the whole key, as many as the number of lines asks for, so a task's share is bounded and
+    one URL with very many captures is split too. A range keeps its share as Arrow columns, and the loser tree draws
+    lines from its sorted pieces a few at a time. Runs must be a stored table. An empty index stays empty.
     """
     names = [x.split()[0] for x in INDEX.split(", ")]
-
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        slices: dict[str, list[tuple]] = {}
-        for pdf in batches:
-            for row in pdf[names].itertuples(index=False, name=None):
-                slices.setdefault(row[-1], []).append(row)
-        for rows in slices.values():  # a run arrives in its own order unless its blocks were fetched in another
-            if any(a > b for a, b in zip(rows, rows[1:], strict=False)):
-                rows.sort()
-        merged = LoserTree([iter(slices[k]) for k in sorted(slices)])
-        part, out, at = TaskContext.get().partitionId(), [], 0
-        for row in merged:
-            out.append((*row, part, at))
-            at += 1
+    schema = _schema(f"{INDEX}, range int, place long")
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        merged = LoserTree([_lines(table, a, b) for a, b in _ascending(table)])
+        part, out, place = TaskContext.get().partitionId(), [], 0
+        for _, row in merged:
+            out.append((*row, part, place))
+            place += 1
             if len(out) == 10_000:
-                yield pd.DataFrame(out, columns=[*names, "range", "place"])
+                yield _batch(out, schema)
                 out = []
-        if out:
-            yield pd.DataFrame(out, columns=[*names, "range", "place"])
+        yield _batch(out, schema)
 
-    ranged = runs.repartitionByRange("urlkey", "timestamp", "page_id", "archive", "start")
-    merged = stored(ranged.mapInPandas(merge, f"{INDEX}, range int, place long"), "index")
+    ranges = max(1, -(-runs.count() // range_rows))
+    keys = ["urlkey", "timestamp", F.asc_nulls_last("page_id"), "archive", "start"]
+    merged = stored(runs.select(*names).repartitionByRange(ranges, *keys).mapInArrow(merge, f"{INDEX}, range int, place long"), "index")
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
     starts = merged.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     return merged.join(starts, "range").select(*names, (F.col("first") + F.col("place")).alias("position"))
@@ -252,8 +295,9 @@ def merge_runs(runs: DataFrame) -> DataFrame:
 def archive(pages: DataFrame, folder: str | None = None, least: int = 0) -> tuple[DataFrame, DataFrame]:
     """(records read back, merged index) of archives written for pages (page_id, url, html).
 
-    A null html is an empty payload, a null url an empty URI; rows with a null page_id have no record id and are left
-    out. Rows that repeat a page_id with its smallest-id payload are responses each. Other columns are ignored.
+    A null html is an empty payload, a null url an empty URI. A row with a null page_id has a record too: it revisits a
+    page with an equal payload if one has an id, and is a response otherwise. Rows that repeat a page_id with its
+    smallest-id payload are responses each. Other columns are ignored.
     """
     spark = pages.sparkSession
     folder = folder or fresh_path(spark, "warc")
@@ -268,3 +312,30 @@ def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     records, index = archive(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
     found = records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "start")
     return found.join(index.select("archive", "start", "urlkey", "timestamp", "position"), ["archive", "start"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp", "position")
+
+
+OP4_SQL = """
+WITH own AS (
+  SELECT row_number() OVER () AS row, page_id, url, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS sha,
+         strlen(coalesce(html, '')) AS payload_bytes
+  FROM pages
+), firsts AS (
+  SELECT sha, payload_bytes, min(page_id) AS first_id FROM own GROUP BY ALL
+), parsed AS (
+  SELECT o.*, first_id,
+         CASE WHEN page_id IS NULL OR page_id > first_id THEN first_id END AS refers_to,
+         CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest,
+         strftime(TIMESTAMP '2024-01-01' + to_seconds(coalesce(page_id, 0) % 1000000000), '%Y-%m-%dT%H:%M:%SZ') AS timestamp
+  FROM own o JOIN firsts USING (sha, payload_bytes)
+), split AS (
+  SELECT *, lower(regexp_replace(regexp_extract(rest, '^([^/?#]*)', 1), '^.*@', '')) AS host, regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS tail FROM parsed
+), keyed AS (
+  SELECT *, array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || CASE WHEN tail = '' THEN '/' ELSE tail END AS urlkey FROM split
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((('0x' || substr(sha, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INTEGER, 1)), '') AS payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to, urlkey, timestamp,
+       row_number() OVER (ORDER BY urlkey, timestamp, page_id NULLS LAST, row) - 1 AS position
+FROM keyed
+"""

@@ -2,6 +2,7 @@ import gzip
 import random
 
 import pytest
+from helpers import connection, have_data, same
 
 from kindred.llm import warc
 
@@ -12,14 +13,14 @@ def pages(spark, rows):
 
 def brute(rows, least=0):
     first = {}
-    for p, _, h in sorted(rows, key=lambda r: r[0]):
+    for p, _, h in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         first.setdefault(h or "", p)
     out = []
     for p, _, h in rows:
         data = (h or "").encode()
         original = first[h or ""] if len(data) >= least else p
         out.append((p, len(data), warc.sha1_base32(data), "response" if original == p else "revisit", None if original == p else original))
-    return sorted(out)
+    return sorted(out, key=str)
 
 
 @pytest.mark.parametrize("least", [0, 3])
@@ -27,7 +28,7 @@ def test_round_trip_and_order(spark, tmp_path, least):
     r = random.Random(1)
     rows = [(i, f"http://h{r.randrange(4)}.example.com/p{r.randrange(3)}?x#y", r.choice(["<p>ä</p>", "", None, "ab", f"<b>{i}</b>" * 50])) for i in range(200)]
     records, index = warc.archive(pages(spark, rows).repartition(5), f"file://{tmp_path}/w", least)
-    got = sorted((x["page_id"], x["payload_bytes"], x["payload_digest"], x["record_type"], x["refers_to"]) for x in records.collect())
+    got = sorted(((x["page_id"], x["payload_bytes"], x["payload_digest"], x["record_type"], x["refers_to"]) for x in records.collect()), key=str)
     assert got == brute(rows, least)
     html = {x["page_id"]: x["html"] for x in records.collect() if x["record_type"] == "response"}
     assert all(html[p] == (h or "") for p, _, h in rows if p in html)
@@ -60,6 +61,15 @@ def test_url_keys():
     assert warc.url_key(None) == ")/" and warc.url_key("http://a.b") == "b,a)/"
 
 
+@pytest.mark.parametrize("range_rows", [7, 40, 100_000])
+def test_ranges_are_merged_from_any_pieces(spark, range_rows):
+    r = random.Random(2)
+    lines = [(f"k{r.randrange(6)}", f"2024-{r.randrange(10, 13)}", r.choice([None, r.randrange(9)]), f"a{i % 5}", i, 1, f"a{i % 5}") for i in range(300)]
+    runs = warc.stored(spark.createDataFrame(sorted(lines, key=lambda x: (x[6], *warc._order(x))), warc.INDEX).repartition(4), "runs")
+    got = [tuple(x)[:7] for x in warc.merge_runs(runs, range_rows).orderBy("position").collect()]
+    assert got == sorted(lines, key=warc._order)
+
+
 def test_damage_is_noticed():
     raw = gzip.decompress(warc.record(1, "http://a/", "2024-01-01T00:00:00Z", b"hello", None))
     with pytest.raises(ValueError):
@@ -69,7 +79,15 @@ def test_damage_is_noticed():
 def test_edges(spark, tmp_path):
     records, index = warc.archive(pages(spark, []), f"file://{tmp_path}/e")
     assert records.count() == 0 and index.count() == 0
-    df = spark.createDataFrame([(1, None, None, "x"), (1, None, None, "x"), (None, "u", "h", "x"), (2, "a\r\nb", "é" * 100_000, "x")], "page_id long, url string, html string, archive string")
+    big = 2**53 + 1
+    rows = [(1, None, None, "x"), (1, None, None, "x"), (None, "u", "h", "x"), (None, "u", "h", "x"), (None, "u", "", "x"), (big, "a\r\nb", "é" * 100_000, "x"), (big + 2, "b", "é" * 100_000, "x")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, archive string")
     records, index = warc.archive(df, f"file://{tmp_path}/f")
-    got = sorted((r["page_id"], r["payload_bytes"], r["record_type"]) for r in records.collect())
-    assert got == [(1, 0, "response"), (1, 0, "response"), (2, 200_000, "response")] and index.count() == 3
+    got = sorted(((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in records.collect()), key=str)
+    want = [(1, 0, "response", None)] * 2 + [(None, 1, "response", None)] * 2 + [(None, 0, "revisit", 1), (big, 200_000, "response", None), (big + 2, 200_000, "revisit", big)]
+    assert got == sorted(want, key=str) and index.count() == 7
+
+
+@pytest.mark.skipif(not have_data(), reason="no test tables")
+def test_query(spark, sf):
+    same(warc.op4_warc_index(spark, sf), connection(sf), warc.OP4_SQL)
