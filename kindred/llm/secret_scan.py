@@ -1,29 +1,34 @@
 """Secret scan: candidates by format and context, then a random forest that removes false positives.
 
-Candidates are strings of known credential formats, values assigned to names such as token or password, and long runs
-that mix letters and digits. A random forest, trained from labelled findings, judges each by its length, its
-character transitions, how much of it dictionary words cover, whether it stands in a path or URL, and the words before
-and behind it.
+Candidates are strings of known credential formats, values of 8 characters or more that are assigned to names such as
+token or password, and runs of 20 or more that mix letters and digits. A random forest, trained from labelled findings,
+judges each by its length, its character transitions, how much of it dictionary words cover, whether it stands in a path
+or URL, and the words before and behind it.
 """
 
 from __future__ import annotations
 
 import bisect
 import hashlib
+import json
 import math
+import os
 import random
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kindred.llm.common import column_name
+
 TREES, DEPTH, SEED, THRESHOLD = 40, 8, 5, 0.5
 #: Labelled findings that the forest and its tables are fitted on at most; more are sampled by hash.
 FIT_ROWS = 20_000
@@ -39,27 +44,55 @@ FORMATS = [
 ]
 FORMAT = re.compile("|".join(f"(?P<{n}>{p})" for n, p in FORMATS))
 NAME = re.compile(r"(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential)s?", re.I)
+#: What may follow a name up to its sign; a run is read once, however many names it holds.
+TAIL = re.compile(r"[\w.-]*+")
 #: A quoted value is taken whole; one without quotes by its usual symbols, or else up to a space, quote or bracket.
-ASSIGNED = re.compile(r"""[\w.-]{0,40}["']?\s*+(?:=>|:=|=|:)\s*+(?:"([^\s"]{8,})"|'([^\s']{8,})'|`([^\s`]{8,})`|["'`]?(?:([A-Za-z0-9+/_.~$!@%^&*#-]{8,}={0,2})|((?![=:>])[^\s"'`<>]{8,})))""")
+ASSIGNED = re.compile(r"""["']?\s*+(?:=>|:=|=|:)\s*+(?:"([^\s"]{8,})"|'([^\s']{8,})'|`([^\s`]{8,})`|["'`]?(?:([A-Za-z0-9+/_.~$!@%^&*#-]{8,}={0,2})|((?![=:>])[^\s"'`<>]{8,})))""")
 RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 SECRET_WORDS = ("token", "secret", "password", "passwd", "pwd", "key", "credential", "auth", "bearer", "private", "api")
 HARMLESS_WORDS = ("sha", "sha1", "sha256", "md5", "commit", "checksum", "digest", "hash", "uuid", "guid", "id", "etag", "revision", "integrity", "example", "build", "file", "src", "href", "data")
-#: Words for coverage: common parts of names in code, prose and paths.
-DICTIONARY = ("the and for with from this that file path user name test data main index value string number config server client service example sample default change local public static assets images image style script module package version release build source target output input table column number document report account customer order product street company please enter your here password token secret placeholder dummy fake none null true false undefined").split()
+#: The word list for coverage: a public vocabulary's whole words of four letters or more. The path is a parameter.
+WORD_LIST, LEAST_WORD = "word_bpe_49k.json", 4
+#: Texts of the corpus that labelled findings are set into, and characters around a finding.
+CONTEXTS, AROUND = 400, 60
 FEATURES = ["length", "digits", "upper", "lower", "symbols", "classes", "entropy", "transitions", "alternations", "coverage", "hex", "uuid", "path", "url", "assigned", "known_format", "secret_word", "harmless_word", "repeats", "sequence"]
-WORDS = re.compile(r"[a-z]+")
+WORDS = LETTERS = re.compile(r"[a-z]+")
 UUID = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", re.I)
-_DICTIONARY = re.compile("|".join(sorted(set(DICTIONARY), key=lambda w: (-len(w), w))))
+
+
+@lru_cache(maxsize=2)
+def dictionary(path: str = WORD_LIST) -> frozenset[str]:
+    """Whole words of a vocabulary file (a name that public_tokenizers knows, or a path): some 30,000."""
+    import public_tokenizers as known
+
+    with open(path if os.path.sep in path else known.path(path), encoding="utf-8") as f:
+        words = json.load(f)["model"]["vocab"]
+    return frozenset(w for x in words if x.endswith("</w>") and len(w := x.removesuffix("</w>")) >= LEAST_WORD and w.isascii() and w.isalpha())
+
+
+def covered(text: str, words: frozenset[str]) -> int:
+    """How many characters of lower-cased text the longest words from the left cover."""
+    total = 0
+    for m in LETTERS.finditer(text):
+        run, at = m[0], 0
+        while at <= len(run) - LEAST_WORD:
+            n = next((k for k in range(min(16, len(run) - at), LEAST_WORD - 1, -1) if run[at : at + k] in words), 0)
+            total += n
+            at += n or 1
+    return total
 
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) in order, without overlaps: known formats first, then assignments, then runs."""
     found: list[tuple[int, int, str]] = []
-    if "-" in text or "_" in text or "AKIA" in text or "ASIA" in text or "AIza" in text or "eyJ" in text:
+    if "-" in text or "_" in text or "AKIA" in text or "ASIA" in text or "AIza" in text or "eyJ" in text:  # every format holds one
         found += [(*m.span(), m.lastgroup) for m in FORMAT.finditer(text)]
+    read = -1
     for m in NAME.finditer(text):
-        if v := ASSIGNED.match(text, m.end()):
-            found.append((*v.span(v.lastindex), "assigned"))
+        if m.end() > read:
+            read = TAIL.match(text, m.end()).end()
+            if v := ASSIGNED.match(text, read):
+                found.append((*v.span(v.lastindex), "assigned"))
     for m in RUN.finditer(text):
         s = m[0]
         if any(c.isdigit() for c in s) and any(c.isalpha() for c in s):
@@ -93,7 +126,7 @@ class Transitions:
         return float(self.odds[codes[:-1], codes[1:]].mean()) if len(codes) > 1 else 0.0
 
 
-def features(text: str, start: int, end: int, kind: str, transitions: Transitions) -> list[float]:
+def features(text: str, start: int, end: int, kind: str, transitions: Transitions, words: frozenset[str] | None = None) -> list[float]:
     s = text[start:end]
     n = max(1, len(s))
     before, after = text[max(0, start - 48) : start], text[end : end + 24]
@@ -101,11 +134,11 @@ def features(text: str, start: int, end: int, kind: str, transitions: Transition
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "s" for c in s]
     count = Counter(kinds)
     low = s.lower()
-    covered = sum(len(m[0]) for m in _DICTIONARY.finditer(low))
+    known = covered(low, dictionary() if words is None else words)
     step = np.diff(np.array([ord(c) for c in s])) if len(s) > 1 else np.zeros(1)
     return [
         float(n), count["d"] / n, count["u"] / n, count["l"] / n, count["s"] / n, float(len(count)), entropy(s), transitions.score(s),
-        sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / n, covered / n,
+        sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / n, known / n,
         float(all(c in "0123456789abcdefABCDEF" for c in s)), float(bool(UUID.search(s))),
         float("/" in s or "\\" in s or before.endswith(("/", "\\", "./")) or after.startswith(("/", "\\"))),
         float(bool(re.search(r"(?:https?://|www\.)\S*$", before)) or s.startswith(("http", "www"))),
@@ -115,19 +148,29 @@ def features(text: str, start: int, end: int, kind: str, transitions: Transition
     ]
 
 
-def labelled_findings(n: int = 1500, seed: int = SEED) -> list[tuple[str, int, int, str, int]]:
-    """(text, start, end, kind, is_secret): findings made from a seed, in the ways that they occur in code and prose.
+def labelled_findings(n: int = 1500, seed: int = SEED, contexts: Sequence[str] = ()) -> list[tuple[str, int, int, str, int]]:
+    """(text, start, end, kind, is_secret): findings made from a seed and set into pieces of the given texts.
 
     About half are credentials in known formats or assigned at random; the others are checksums, identifiers, paths,
-    placeholders, names and encoded data, which scanners report falsely.
+    placeholders, names and encoded data, which scanners report falsely, and strings of the texts themselves that are
+    candidates without a name or format. Without contexts, made-up words surround them.
     """
     r = random.Random(seed)
     letters, hexa = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
     alnum = letters + "0123456789"
     syllables = ["an", "er", "tion", "ing", "re", "on", "at", "en", "nd", "ti", "es", "or", "te", "of", "ed", "is", "it", "al", "ar", "st", "to", "nt", "ou", "ea", "hi"]
     pick = lambda chars, k: "".join(r.choice(chars) for _ in range(k))
-    word = lambda: "".join(r.choice(syllables) for _ in range(r.randint(1, 4)))
-    prose = lambda k: " ".join(word() for _ in range(r.randint(2, k)))
+    vocabulary = sorted(dictionary())
+    word = lambda: r.choice(vocabulary) if r.random() < 0.5 else "".join(r.choice(syllables) for _ in range(r.randint(1, 4)))
+
+    def prose(k: int) -> str:
+        if contexts and r.random() < 0.8:
+            t = r.choice(contexts)
+            at = r.randrange(max(1, len(t) - AROUND))
+            piece = t[at : at + r.randint(8 * k // 2, 8 * k)]
+            if not candidates(piece) and not NAME.search(piece):
+                return piece
+        return " ".join(word() for _ in range(r.randint(2, k)))
 
     def secret() -> tuple[str, str, str]:
         kind = r.randrange(7)
@@ -201,69 +244,69 @@ class SecretFilter:
         return SecretFilter(table, forest.fit(data.select(array_to_vector("x").alias("features"), "label").coalesce(1)))
 
     @staticmethod
-    def default(spark: SparkSession) -> SecretFilter:
-        return SecretFilter.fit(spark, spark.createDataFrame(labelled_findings(), "text string, start long, end long, kind string, is_secret int"))
+    def default(spark: SparkSession, docs: DataFrame | None = None, text: str = "text", contexts: int = CONTEXTS) -> SecretFilter:
+        """Fitted on made findings, set into at most `contexts` texts of docs (those with the smallest hashes)."""
+        found: list[str] = []
+        if docs is not None:
+            t = F.col(text)
+            h = F.xxhash64(t)  # says which texts, and where in a text the piece begins
+            some = docs.filter(F.length(t) > 0).select(h.alias("h"), F.substring(t, F.pmod(h, F.length(t)).cast("int") + 1, F.lit(100 * AROUND)).alias("t"))
+            found = [r["t"] for r in some.orderBy("h", "t").limit(contexts).collect()]
+        return SecretFilter.fit(spark, spark.createDataFrame(labelled_findings(contexts=found), "text string, start long, end long, kind string, is_secret int"))
+
+
+FOUND = "doc_id long, start long, end long, kind string, secret_sha256 string, text_md5 string, x array<double>"
 
 
 def scan(docs: DataFrame, judge: SecretFilter, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, start, end (characters), kind, secret_sha256, score, is_secret: a row for every candidate of every text.
+    """doc_id, start, end (characters), kind, secret_sha256, text_md5, score, is_secret: a row for every candidate.
 
     Candidates that the forest gives less than `threshold` stay in the result with is_secret false. Null and empty
     texts have none; rows with a null id keep it; repeated rows give repeated results. The secret itself is not
-    returned: `redact` takes it out of the text.
+    returned: `redact` takes it out of the text. text_md5 names the text among those that share an id.
     """
     table = judge.transitions
+    kinds = {"long": pa.int64(), "string": pa.string(), "array<double>": pa.list_(pa.float64())}
+    schema = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in FOUND.split(", "))])
 
-    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = dictionary()
+        for batch in batches:
             rows = []
-            for doc_id, t in zip(pdf["doc_id"], pdf["text"], strict=True):
-                for a, b, kind in candidates(t):
+            for i in range(len(batch)):
+                t = batch.column(1)[i].as_py()
+                spans = candidates(t)
+                name = hashlib.md5(t.encode("utf-8", "surrogatepass")).hexdigest() if spans else ""
+                for a, b, kind in spans:
                     digest = hashlib.sha256(t[a:b].encode("utf-8", "surrogatepass")).hexdigest()
-                    rows.append((None if pd.isna(doc_id) else int(doc_id), a, b, kind, digest, features(t, a, b, kind, table)))
-            out = pd.DataFrame(rows, columns=["doc_id", "start", "end", "kind", "secret_sha256", "x"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+                    rows.append((batch.column(0)[i].as_py(), a, b, kind, digest, name, features(t, a, b, kind, table, words)))
+            columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     asked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("text is not null")
-    rows = asked.mapInPandas(found, "doc_id long, start long, end long, kind string, secret_sha256 string, x array<double>")
-    scored = judge.forest.transform(rows.withColumn("features", array_to_vector("x")))
+    scored = judge.forest.transform(asked.mapInArrow(found, FOUND).withColumn("features", array_to_vector("x")))
     score = F.round(vector_to_array("probability")[1], 6)
-    return scored.select("doc_id", "start", "end", "kind", "secret_sha256", score.alias("score"), (score >= threshold).alias("is_secret"))
+    return scored.select("doc_id", "start", "end", "kind", "secret_sha256", "text_md5", score.alias("score"), (score >= threshold).alias("is_secret"))
 
 
-def redact(docs: DataFrame, findings: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id") -> DataFrame:
+def redact(docs: DataFrame, findings: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with their confirmed secrets replaced and n_chars set anew; all other columns and rows stay as they are.
 
-    A document's findings are gathered in its row, so they are bounded by its length. id_col, which scan() was given too,
-    identifies a text; rows that repeat it with the same text are all changed, and rows where it is null are not.
+    findings: what scan() gave for docs. They are matched by id and text, so null ids, and several texts of one id, are
+    changed as well. A text's findings are gathered in its row, so they are bounded by its length.
     """
-    spans = findings.filter("is_secret and doc_id is not null").groupBy(F.col("doc_id").alias(id_col)).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__spans"))
-    joined = docs.join(spans, id_col, "left")
-
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-        out = []
-        for t, a, b in zip(texts, starts, ends, strict=True):
-            if t is None or a is None:
-                out.append(t)
-                continue
-            parts, at = [], 0
-            for x, y in zip(a, b, strict=True):
-                if x >= at:
-                    parts += [t[at:x], mark]
-                    at = y
-            out.append("".join(parts) + t[at:])
-        return pd.Series(out, dtype="object")
-
-    hit = F.col("__spans").isNotNull() & F.col("text").isNotNull()
-    plain = joined.filter(~hit).select(*docs.columns)
-    changed = joined.filter(hit).withColumn("text", cut("text", F.col("__spans.start"), F.col("__spans.end")))
+    own, other, md5, spans = (column_name(docs, c) for c in ("own_md5", "found_id", "found_md5", "spans"))
+    found = findings.filter("is_secret").groupBy(F.col("doc_id").alias(other), F.col("text_md5").alias(md5)).agg(F.sort_array(F.collect_set(F.struct("start", "end")), asc=False).alias(spans))
+    joined = docs.withColumn(own, F.md5(F.col(text).cast("binary"))).join(found, F.col(id_col).cast("long").eqNullSafe(F.col(other)) & (F.col(own) == F.col(md5)), "left")
+    # From the last to the first, so that places before a mark stay right.
+    cut = F.aggregate(spans, F.col(text), lambda t, x: F.concat(F.substring(t, F.lit(1), x["start"].cast("int")), F.lit(mark), F.substring(t, x["end"].cast("int") + 1, F.length(t))))
+    hit = F.col(spans).isNotNull()
+    out = joined.withColumn(text, F.when(hit, cut).otherwise(F.col(text)))
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return plain.union(changed.select(*docs.columns))
+        out = out.withColumn("n_chars", F.when(hit, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return scan(docs, SecretFilter.default(spark))
+    return scan(docs, SecretFilter.default(spark, docs))
