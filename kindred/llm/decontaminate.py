@@ -6,37 +6,58 @@ segments that occur (nothing is lost), each of its item's size and at every shif
 by CGK random walks (a shared random bit for each step and word says whether the walk moves on), which turn a small edit
 distance into a small Hamming distance with the item's embedding. Each repetition samples a few coordinates into a key;
 windows with a key of an item in any repetition are its candidates. Candidates are verified by the exact edit distance.
-Segments whose own window no key finds are verified exactly too, so the number of repetitions says only how much LSH
-leaves; no match depends on it.
+
+The number of repetitions follows for each size of items from TRIALS random edits as far as allowed: the lower confidence
+bound of one repetition's chance to agree gives the repetitions that reach the target recall. Segments whose own window
+no key finds are verified exactly at the end, so that no match depends on chance.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kindred.llm.common import column_name
 from kindred.llm.wordhash import CHUNK, grams, mixed, words
 
 SIMILARITY, TARGET_RECALL, SAMPLED, LEAST_WORDS = 0.8, 0.99, 2, 5
-#: Items whose index is sent to workers at once; more items take more passes over the documents.
-ITEM_BLOCK = 20_000
-#: Words of regions that are verified at once.
-CELLS = 500_000
-WORD = re.compile(r"[^\W_]+")
+#: Random edits that are tried for each size, repetitions at most, and the z value of the confidence bound (99 %).
+TRIALS, MOST_REPEATS, Z = 1000, 96, 2.33
+MOST_WORDS = 4096
+#: Items whose index is sent to workers at once, and their characters; more items take more passes over the documents.
+ITEM_BLOCK, ITEM_CHARS = 20_000, 8 << 20
+#: Words of regions that are verified at once, and walks that are on their way at once.
+CELLS, WALKS = 500_000, 1 << 18
+#: Scripts without spaces between words: each letter is a word.
+_ALONE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003134f"
+WORD = re.compile(f"(?=[{_ALONE}])[^\\W_]|[^\\W_{_ALONE}]+")
 _NOT_WORD = re.compile(r"[\W_]+")
+_LETTER_ALONE = re.compile(f"([{_ALONE}])")
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _ASCII_SEPARATOR = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 RESULT = "doc_id long, item_id long, edit_distance int, similarity double, word_start long, word_end long, char_start long, char_end long"
 
 
+def _plain(text: str) -> bytes:
+    """The same words as WORD finds, lower-cased, with ASCII between them."""
+    if text.isascii():
+        return text.encode()
+    text = _LETTER_ALONE.sub(r" \1 ", _NOT_WORD.sub(" ", text))
+    return text.lower().encode("utf-8", "replace")  # lower-casing comes last: it may add marks, which belong to the word
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, index of the first word of each text and the number of all): lower-cased runs of letters
     and digits."""
-    raw = [t.encode() if t.isascii() else _NOT_WORD.sub(" ", t.lower()).encode("utf-8", "replace") for t in texts]
+    raw = list(map(_plain, texts))
     ends = np.cumsum([0, *map(len, raw)])
     return words(np.frombuffer(b"".join(raw), dtype=np.uint8), ends, _ASCII_SEPARATOR)
 
@@ -45,19 +66,37 @@ def edits_allowed(n: int, similarity: float = SIMILARITY) -> int:
     return int(n * (1 - similarity) + 1e-9)
 
 
-def embed(windows: np.ndarray, lengths: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """CGK embeddings (window, repetition, step). windows hold words, then zeros; seeds: (repetition, step)."""
-    n, (repeats, steps) = len(windows), seeds.shape
-    out = np.zeros((n, repeats, steps), dtype=np.uint64)
-    at = np.zeros((n, repeats), dtype=np.int64)
-    row = np.arange(n)[:, None]
+def embed(windows: np.ndarray, lengths: np.ndarray, seeds: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """(window, repetition, sample): CGK embeddings of windows at the sampled steps.
+
+    windows hold words, then zeros; seeds: (repetition, step); places: the steps (repetition, sample) that are sampled.
+    Only the samples are kept, so memory doesn't depend on the number of steps.
+    """
+    n, steps = len(windows), int(places.max(initial=-1)) + 1
+    out = np.zeros((n, *places.shape), dtype=np.uint64)
+    flat, begin = windows.ravel(), (np.arange(n) * windows.shape[1])[:, None]
+    at = np.repeat(begin, len(seeds), axis=1)
+    last, turns = begin + lengths[:, None], np.ascontiguousarray(seeds.T)
+    due: dict[int, list[tuple[int, int]]] = {}
+    for r, picked in enumerate(places.tolist()):
+        for s, step in enumerate(picked):
+            due.setdefault(step, []).append((r, s))
     for j in range(steps):
-        x = windows[row, at]
-        out[:, :, j] = x
-        at += (mixed(x ^ seeds[:, j]) & np.uint64(1)).astype(np.int64) * (at < lengths[:, None])
+        x = flat.take(at)
+        for r, s in due.get(j, ()):
+            out[:, r, s] = x[:, r]
+        at += (((x ^ turns[j]) * _ODD) >> np.uint64(63)).view(np.int64)
+        np.minimum(at, last, out=at)
     return out
 
 
+def repeats_for(agree: int, trials: int, target: float) -> int:
+    """Repetitions that reach the target by the lower (Wilson) bound of one's chance."""
+    p, z2 = agree / trials, Z * Z
+    low = (p + z2 / (2 * trials) - Z * math.sqrt(p * (1 - p) / trials + z2 / (4 * trials * trials))) / (1 + z2 / trials)
+    return MOST_REPEATS if low <= 0 else 1 if low >= target else min(MOST_REPEATS, math.ceil(math.log(1 - target) / math.log(1 - low)))
+
+
 def edit_match(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
     """(distance, start, end) of the part of region that is nearest to item; the earliest end of the nearest ones."""
     d, end = _nearest_end(item, region)
@@ -109,61 +148,76 @@ class ItemIndex:
             for a, b in zip(bounds, bounds[1:], strict=False):
                 segments.setdefault(b - a, []).append((int(grams(item[a:b], b - a)[0]), i, a))
         self.segments = {n: tuple(np.array(c, dtype=t) for c, t in zip(zip(*sorted(x), strict=True), (np.uint64, np.int64, np.int64), strict=True)) for n, x in segments.items()}
-        self.similarity, self.sizes = similarity, np.array([len(x) for x in self.items], dtype=np.int64)
+        self.similarity, self.target, self.sizes = similarity, target, np.array([len(x) for x in self.items], dtype=np.int64)
         self.width = max(map(len, self.items), default=1)
-        self.repeats = self._repeats(target) if self.items else 1
-        self._set_up(self.repeats)
-
-    def _set_up(self, repeats: int) -> None:
-        rng = np.random.Generator(np.random.Philox(key=17))
-        self.seeds = rng.integers(0, 2**64, (repeats, 3 * self.width), dtype=np.uint64)
-        self.places = rng.random((repeats, SAMPLED))
-        keys = [self.keys(self.matrix([item]), np.array([len(item)]), np.array([len(item)]))[0] for item in self.items]
-        flat = np.array(keys, dtype=np.uint64).reshape(-1)
-        owner = np.repeat(np.arange(len(self.items)), repeats)
+        self.repeats: dict[int, int] = {}  # by class of sizes
+        keys, owners = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)]
+        for n in np.unique(self.sizes).tolist():
+            same = np.flatnonzero(self.sizes == n)
+            for some in np.array_split(same, -(-len(same) // 1024)):
+                found = self.keys(np.array([self.items[i] for i in some.tolist()]), np.full(len(some), n), n)
+                keys.append(found.ravel())
+                owners.append(np.repeat(some, found.shape[1]))
+        flat, owner = np.concatenate(keys), np.concatenate(owners)
         order = np.lexsort((owner, flat))
         self.key_table, self.key_owner = flat[order], owner[order]
 
-    def matrix(self, rows: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(rows), self.width + 1), dtype=np.uint64)
-        for i, x in enumerate(rows):
-            out[i, : len(x)] = x
-        return out
-
-    def keys(self, windows: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """(window, repetition): a key of the sampled coordinates of embeddings for items of these sizes."""
-        seeds = self.seeds[:, : 3 * int(sizes.max(initial=1))]
-        e = embed(windows, lengths, seeds)
-        at = (self.places[None] * 3 * sizes[:, None, None]).astype(np.int64)
-        picked = np.take_along_axis(e, at, axis=2)
-        key = np.arange(len(self.seeds), dtype=np.uint64)[None, :] * np.uint64(1 << 32) + sizes[:, None].astype(np.uint64)
-        for j in range(SAMPLED):
-            key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + picked[:, :, j])
-        return key
-
-    def _repeats(self, target: float) -> int:
-        """Repetitions that leave little to exact verification: measured on up to 100 items edited at random."""
-        rng = np.random.Generator(np.random.Philox(key=23))
-        self._set_up(64)
-        hits = []
-        for i in range(0, len(self.items), max(1, len(self.items) // 100)):
-            item, k = self.items[i], self.edits[i]
-            row = item.tolist()
-            for _ in range(k):
-                at = int(rng.integers(len(row)))
-                kind = rng.integers(3)
-                if kind == 0:
-                    row[at] = int(rng.integers(2**63))
-                elif kind == 1:
-                    row.insert(at, int(rng.integers(2**63)))
-                elif len(row) > 1:
-                    del row[at]
-            row = np.array(row[: len(item)], dtype=np.uint64)
-            size = np.array([len(item)])
-            own = self.keys(self.matrix([item]), size, size)
-            hits.append((self.keys(self.matrix([row]), np.array([len(row)]), size) == own)[0])
-        found = np.maximum.accumulate(np.array(hits), axis=1).mean(0)
-        return int(np.argmax(found >= target)) + 1 if (found >= target).any() else 64
+    def walks(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(seeds, sampled steps) for items of this size."""
+        rng = np.random.Generator(np.random.Philox(key=[17, size]))
+        repeats = self.repeats_of(size)
+        return rng.integers(0, 2**64, (repeats, 3 * size), dtype=np.uint64), (rng.random((repeats, SAMPLED)) * 3 * size).astype(np.int64)
+
+    def keys(self, windows: np.ndarray, lengths: np.ndarray, size: int, walks: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """(window, repetition): a key of the sampled coordinates of windows for items of this size."""
+        seeds, places = walks or self.walks(size)
+        padded = np.concatenate([windows, np.zeros((len(windows), 1), dtype=np.uint64)], axis=1)
+        out = []
+        for a in range(0, len(windows), step := max(1, WALKS // len(seeds))):
+            picked = embed(padded[a : a + step], lengths[a : a + step], seeds, places)
+            key = (np.arange(len(seeds), dtype=np.uint64) * np.uint64(1 << 32) + np.uint64(size))[None, :].repeat(len(picked), 0)
+            for j in range(SAMPLED):
+                key = mixed(key * _ODD + picked[:, :, j])
+            out.append(key)
+        return np.concatenate(out) if out else np.empty((0, len(seeds)), dtype=np.uint64)
+
+    def repeats_of(self, size: int) -> int:
+        """Repetitions for a size, those of the largest size in its class (a quarter of an octave), which is the hardest.
+
+        The chance hardly falls from 1000 words on, so larger ones than MOST_WORDS are tried at that size.
+        """
+        top = min(MOST_WORDS, math.ceil(2 ** (math.ceil(4 * math.log2(size)) / 4)))
+        if top not in self.repeats:
+            self.repeats[top] = repeats_for(*self.agreement(top), self.target)
+        return self.repeats[top]
+
+    def agreement(self, size: int, trials: int = TRIALS) -> tuple[int, int]:
+        """(trials in which one repetition's key of a text edited as far as allowed is the text's own, trials)."""
+        rng = np.random.Generator(np.random.Philox(key=[23, size]))
+        k = edits_allowed(size, self.similarity)
+        agree = 0
+        for _ in range(20):  # each share has walks of its own
+            n = trials // 20
+            texts = rng.integers(1, 2**63, (n, size), dtype=np.uint64)
+            edited = np.zeros((n, size), dtype=np.uint64)
+            lengths = np.zeros(n, dtype=np.int64)
+            for i in range(n):
+                row = texts[i].tolist()
+                for at, kind, new in zip(rng.integers(0, size, k).tolist(), rng.integers(0, 3, k).tolist(), rng.integers(1, 2**63, k).tolist(), strict=True):
+                    at = min(at, len(row) - 1)
+                    if kind == 0:
+                        row[at] = new
+                    elif kind == 1:
+                        row.insert(at, new)
+                    elif len(row) > 1:
+                        del row[at]
+                row = row[:size]
+                edited[i, : len(row)] = row
+                lengths[i] = len(row)
+            walks = rng.integers(0, 2**64, (1, 3 * size), dtype=np.uint64), (rng.random((1, SAMPLED)) * 3 * size).astype(np.int64)
+            own = self.keys(texts, np.full(n, size), size, walks)
+            agree += int((own == self.keys(edited, lengths, size, walks)).sum())
+        return agree, trials // 20 * 20
 
     def hits(self, hashes: np.ndarray, first: np.ndarray) -> pd.DataFrame:
         """(text, item, start) of the places where items would begin by their segments; start may lie before the text."""
@@ -217,25 +271,32 @@ class ItemIndex:
                 kept.append(row[alive[_distances(which[alive], region[alive], outside[alive]) <= k]])
         return hits.iloc[np.sort(np.concatenate(kept))] if kept else hits
 
-    def matches(self, texts: list[str]) -> list[tuple]:
-        """(text index, item index, distance, start word, end word) of the nearest match of each item in each text."""
+    def matches(self, texts: list[str], rest: bool = True) -> list[tuple]:
+        """(text index, item index, distance, start word, end word) of the nearest match of each item in each text.
+
+        rest: whether segments whose windows no key finds are verified too.
+        """
         hashes, first = word_hashes(texts)
         hits = self.hits(hashes, first)
         w = self.windows(hits, first)
         candidates: dict[tuple[int, int], list[int]] = {}
-        for at in range(0, len(w), 2048):
-            t, s, n = (w[c].to_numpy()[at : at + 2048] for c in ("text", "start", "size"))
-            ends = np.minimum(s + n, first[t + 1])
-            m = self.matrix([hashes[a:b] for a, b in zip(s.tolist(), ends.tolist(), strict=True)])
-            keys = self.keys(m, ends - s, n)
-            lo, hi = np.searchsorted(self.key_table, keys), np.searchsorted(self.key_table, keys, side="right")
-            for i, r in zip(*np.nonzero(hi > lo), strict=True):
-                for item in self.key_owner[lo[i, r] : hi[i, r]].tolist():
-                    candidates.setdefault((int(t[i]), item), []).append(int(s[i]))
+        for n in np.unique(w["size"].to_numpy()).tolist():
+            text, start = (w[c].to_numpy()[w["size"].to_numpy() == n] for c in ("text", "start"))
+            for at in range(0, len(text), step := max(1, CELLS // n)):
+                t, s = text[at : at + step], start[at : at + step]
+                lengths = np.minimum(s + n, first[t + 1]) - s
+                place = s[:, None] + np.arange(n)
+                inside = np.arange(n) < lengths[:, None]
+                keys = self.keys(np.where(inside, hashes[np.minimum(place, len(hashes) - 1)], np.uint64(0)), lengths, n)
+                lo, hi = np.searchsorted(self.key_table, keys), np.searchsorted(self.key_table, keys, side="right")
+                for i, r in zip(*np.nonzero(hi > lo), strict=True):
+                    for item in self.key_owner[lo[i, r] : hi[i, r]].tolist():
+                        candidates.setdefault((int(t[i]), item), []).append(int(s[i]))
         seen = {(*key, start) for key, starts in candidates.items() for start in starts}
         left = np.array([x not in seen for x in zip(*(hits[c].tolist() for c in ("text", "item", "start")), strict=True)], dtype=bool)
-        for t, i, start in self.verified(hits[left].reset_index(drop=True), hashes, first).itertuples(index=False):
-            candidates.setdefault((t, i), []).append(start)
+        if rest:
+            for t, i, start in self.verified(hits[left].reset_index(drop=True), hashes, first).itertuples(index=False):
+                candidates.setdefault((t, i), []).append(start)
         out = []
         for (t, i), starts in candidates.items():
             item, k, best = self.items[i], self.edits[i], None
@@ -266,48 +327,90 @@ def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
         at = end
 
 
+def _indexes(items: DataFrame, similarity: float, target: float, least_words: int) -> Iterator[ItemIndex]:
+    """Indexes of blocks of distinct items, each of a bounded number of items and characters."""
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).filter("item_id is not null and text is not null").distinct()
+    block: list = []
+    size = 0
+
+    def index() -> ItemIndex:
+        block.sort(key=lambda r: (r["item_id"], r["text"]))
+        return ItemIndex([r["item_id"] for r in block], [r["text"] for r in block], similarity, target, least_words)
+
+    for row in rows.toLocalIterator():
+        if block and (len(block) == ITEM_BLOCK or size + len(row["text"]) > ITEM_CHARS):
+            yield index()
+            block, size = [], 0
+        block.append(row)
+        size += len(row["text"])
+    if block:
+        yield index()
+
+
 def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, target: float = TARGET_RECALL, least_words: int = LEAST_WORDS) -> DataFrame:
     """A row for each document and item whose nearest passage has a similarity (1 - edits / item's words) of 0.8 or more.
 
-    word_start, word_end and char_start, char_end say where the passage stands in the whole text. Null texts and null
-    ids hold nothing; items of fewer words than least_words are left out, and shorter ones than five words match only
-    whole and unedited. Repeated document rows give repeated results; repeated items count once. Other columns are ignored. Empty tables give an empty result.
+    word_start, word_end and char_start, char_end say where the passage stands in the whole text. Null texts hold
+    nothing; a null doc_id stays null in the result, and items without an id are left out. Items of fewer words than
+    least_words are left out, and shorter ones than five words match only whole and unedited. Repeated document rows give
+    repeated results; repeated items count once. Other columns are ignored. Empty tables give an empty result.
     """
     spark = docs.sparkSession
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).filter("item_id is not null and text is not null").distinct()
-    out: DataFrame | None = None
-    block: list = []
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
+    schema = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in RESULT.split(", "))])
+    asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).filter("text is not null")
 
-    def searched(block: list) -> DataFrame:
-        block.sort(key=lambda r: (r["item_id"], r["text"]))
-        index = spark.sparkContext.broadcast(ItemIndex([r["item_id"] for r in block], [r["text"] for r in block], similarity, target, least_words))
+    def searched(block: ItemIndex) -> DataFrame:
+        index = spark.sparkContext.broadcast(block)
 
-        def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x: ItemIndex = index.value
-            for pdf in batches:
-                ids, texts = pdf["doc_id"].tolist(), pdf["text"].tolist()
+            for batch in batches:
+                ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
                 found = []
                 for a, b in _groups(texts):
                     for t, i, d, start, end in x.matches(texts[a:b]):
                         spans = [m.span() for m in WORD.finditer(texts[a + t])]
                         chars = (spans[min(start, len(spans) - 1)][0], spans[min(end, len(spans)) - 1][1])
                         found.append((ids[a + t], x.ids[i], d, round(1 - d / len(x.items[i]), 9), start, end, *chars))
-                yield pd.DataFrame(found, columns=[c.split()[0] for c in RESULT.split(", ")])
+                columns = zip(*found, strict=True) if found else [()] * len(schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-        asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).filter("doc_id is not null and text is not null")
-        return asked.mapInPandas(find, RESULT)
+        return asked.mapInArrow(find, RESULT)
 
-    for row in rows.toLocalIterator():
-        block.append(row)
-        if len(block) == ITEM_BLOCK:
-            found = searched(block)
-            out, block = found if out is None else out.union(found), []
-    if block:
+    out: DataFrame | None = None
+    for block in _indexes(items, similarity, target, least_words):
         found = searched(block)
         out = found if out is None else out.union(found)
     return out if out is not None else spark.createDataFrame([], RESULT)
 
 
+def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", similarity: float = SIMILARITY, target: float = TARGET_RECALL, least_words: int = LEAST_WORDS) -> DataFrame:
+    """The rows of docs that hold no item, by the same search, in one pass for each block of items.
+
+    A row is judged by its own text, whatever its id is. Rows with a null text stay.
+    """
+    spark, hit = docs.sparkSession, column_name(docs, "holds_item")
+    for block in _indexes(items, similarity, target, least_words):
+        docs = docs.withColumn(hit, _holds(spark.sparkContext.broadcast(block))(F.col(text))).filter(~F.col(hit)).drop(hit)
+    return docs
+
+
+def _holds(index: Broadcast):
+    """A UDF that says whether a text holds an item of the index."""
+
+    @F.pandas_udf("boolean")
+    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            texts = [t or "" for t in batch]
+            found = np.zeros(len(texts), dtype=bool)
+            for a, b in _groups(texts):
+                found[[a + m[0] for m in index.value.matches(texts[a:b])]] = True
+            yield pd.Series(found)
+
+    return holds
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), least_words=1)
