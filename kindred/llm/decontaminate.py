@@ -29,6 +29,8 @@ from kindred.llm.common import column_name
 from kindred.llm.wordhash import CHUNK, grams, mixed, words
 
 SIMILARITY, TARGET_RECALL, SAMPLED, LEAST_WORDS = 0.8, 0.99, 2, 5
+#: Up to so many words SAMPLED coordinates make a key; the walks of longer items part too often for more than one.
+FEW_WORDS = 64
 #: Random edits that are tried for each size, repetitions at most, and the z value of the confidence bound (99 %).
 TRIALS, MOST_REPEATS, Z = 1000, 96, 2.33
 MOST_WORDS = 4096
@@ -131,6 +133,12 @@ def _distances(items: np.ndarray, regions: np.ndarray, outside: np.ndarray) -> n
     return row.min(1)
 
 
+def _walks(rng: np.random.Generator, repeats: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(seeds, sampled steps): a walk over a text takes about two steps a word."""
+    sampled = SAMPLED if size <= FEW_WORDS else 1
+    return rng.integers(0, 2**64, (repeats, 2 * size), dtype=np.uint64), (rng.random((repeats, sampled)) * 2 * size).astype(np.int64)
+
+
 class ItemIndex:
     """Segments and LSH keys of a block of items."""
 
@@ -159,6 +167,7 @@ class ItemIndex:
                 keys.append(found.ravel())
                 owners.append(np.repeat(some, found.shape[1]))
         flat, owner = np.concatenate(keys), np.concatenate(owners)
+        flat, owner = flat[flat != 0], owner[flat != 0]
         order = np.lexsort((owner, flat))
         self.key_table, self.key_owner = flat[order], owner[order]
 
@@ -166,19 +175,22 @@ class ItemIndex:
         """(seeds, sampled steps) for items of this size."""
         rng = np.random.Generator(np.random.Philox(key=[17, size]))
         repeats = self.repeats_of(size)
-        return rng.integers(0, 2**64, (repeats, 3 * size), dtype=np.uint64), (rng.random((repeats, SAMPLED)) * 3 * size).astype(np.int64)
+        return _walks(rng, repeats, size)
 
     def keys(self, windows: np.ndarray, lengths: np.ndarray, size: int, walks: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
-        """(window, repetition): a key of the sampled coordinates of windows for items of this size."""
+        """(window, repetition): a key of the sampled coordinates of windows for items of this size.
+
+        0 where all of them lie behind the end of the walk, which any two windows have in common.
+        """
         seeds, places = walks or self.walks(size)
         padded = np.concatenate([windows, np.zeros((len(windows), 1), dtype=np.uint64)], axis=1)
         out = []
         for a in range(0, len(windows), step := max(1, WALKS // len(seeds))):
             picked = embed(padded[a : a + step], lengths[a : a + step], seeds, places)
             key = (np.arange(len(seeds), dtype=np.uint64) * np.uint64(1 << 32) + np.uint64(size))[None, :].repeat(len(picked), 0)
-            for j in range(SAMPLED):
+            for j in range(picked.shape[2]):
                 key = mixed(key * _ODD + picked[:, :, j])
-            out.append(key)
+            out.append(np.where(picked.any(2), key, np.uint64(0)))
         return np.concatenate(out) if out else np.empty((0, len(seeds)), dtype=np.uint64)
 
     def repeats_of(self, size: int) -> int:
@@ -214,9 +226,9 @@ class ItemIndex:
                 row = row[:size]
                 edited[i, : len(row)] = row
                 lengths[i] = len(row)
-            walks = rng.integers(0, 2**64, (1, 3 * size), dtype=np.uint64), (rng.random((1, SAMPLED)) * 3 * size).astype(np.int64)
+            walks = _walks(rng, 1, size)
             own = self.keys(texts, np.full(n, size), size, walks)
-            agree += int((own == self.keys(edited, lengths, size, walks)).sum())
+            agree += int(((own == self.keys(edited, lengths, size, walks)) & (own != 0)).sum())
         return agree, trials // 20 * 20
 
     def hits(self, hashes: np.ndarray, first: np.ndarray) -> pd.DataFrame:
