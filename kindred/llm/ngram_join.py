@@ -15,8 +15,9 @@ up again by their whole sets: a partner shares at least four fifths of a set, so
 What these groups leave goes through signature trees: leaves have the bitmap of a set's hashes and its size, inner nodes
 the OR of their children's bitmaps and the range of their sizes, and a dual traversal drops a pair of nodes when the
 shared bits, the sizes or the common component show that no pair below can be a new link. Groups of any size are split
-into chunks whose pairs are separate tasks, and a pair comes from the rarest hash that it shares alone. What is left is
-verified on whole sets, and components of the links are found with star steps. Nothing is capped.
+by sizes and into chunks whose pairs are separate tasks. What is left is verified on whole sets, and components of the
+links are found with star steps. Nothing is capped. Without the pivots and the components the same trees list every
+link between different sets (`jaccard_pairs`).
 """
 
 from __future__ import annotations
@@ -51,21 +52,22 @@ def _bitmap(hashes: np.ndarray) -> bytes:
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = N) -> DataFrame:
-    """doc_id, n_shingles, set (16 bytes that name the set), sketch of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set", pa.binary()), ("sketch", pa.list_(pa.int64()))])
+    """doc_id, text_hash, n_shingles, set (16 bytes that name the set), sketch of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("set", pa.binary()), ("sketch", pa.list_(pa.int64()))])
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            for at, data, ends in chunks(batch.column(1)):
+            for at, data, ends in chunks(batch.column(2)):
                 sizes, names, small = [], [], []
                 for s in shingle_sets(data, ends, n):
                     sizes.append(len(s))
                     names.append(xxhash.xxh3_128_digest(s.tobytes()))
                     small.append(s[:SKETCH].view(np.int64))
-                yield pa.RecordBatch.from_arrays([ids.slice(at, len(sizes)), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), _lists(small)], schema=schema)
+                own = [batch.column(c).slice(at, len(sizes)) for c in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), _lists(small)], schema=schema)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(sketched, "doc_id long, n_shingles long, set binary, sketch array<long>")
+    asked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    return asked.mapInArrow(sketched, "doc_id long, text_hash long, n_shingles long, set binary, sketch array<long>")
 
 
 def _lists(rows: list[np.ndarray]) -> pa.ListArray:
@@ -124,9 +126,14 @@ class SignatureTree:
 
     @staticmethod
     def of(rows: pd.DataFrame) -> SignatureTree:
-        maps = np.frombuffer(b"".join(rows["bitmap"]), dtype=np.uint64).reshape(len(rows), BITS // 64)
-        sizes = rows["n"].to_numpy(np.int64)
-        return SignatureTree(maps, sizes, sizes - np.bitwise_count(maps).sum(1).astype(np.int64), rows["comp"].to_numpy(np.int64))
+        return SignatureTree(*_leaves(rows))
+
+
+def _leaves(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bitmaps, sizes, spare hashes, components) of rows."""
+    maps = np.frombuffer(b"".join(rows["bitmap"]), dtype=np.uint64).reshape(len(rows), BITS // 64)
+    sizes = rows["n"].to_numpy(np.int64)
+    return maps, sizes, sizes - np.bitwise_count(maps).sum(1).astype(np.int64), rows["comp"].to_numpy(np.int64)
 
 
 def dual_traversal(x: SignatureTree, y: SignatureTree, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -162,50 +169,77 @@ def dual_traversal(x: SignatureTree, y: SignatureTree, same: bool) -> tuple[np.n
     return (i[i != j], j[i != j]) if same else (i, j)
 
 
+def _size_class() -> Column:
+    """Sets of one class or of neighbouring ones may be similar; others differ by more than a quarter in size."""
+    return F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.26))).cast("int")
+
+
 def tree_pairs(groups: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of groups (token, rep, n, comp, earlier, bitmap): those that the trees can't rule out.
+    """Candidate pairs (a, b) of groups (token, rep, n, comp, bitmap): those that the trees can't rule out, each once.
 
-    earlier: the keys that come before this one in the row's own; a pair that shares one of them comes from there.
+    A group is dealt by sizes first, and sizes that many of its sets have into chunks; a cell holds a chunk, or two of
+    the same or of neighbouring size classes.
     """
-    sizes = groups.groupBy("token").agg(F.count(F.lit(1)).alias("k"))
-    dealt = groups.join(sizes, "token").withColumn("chunks", F.ceil(F.col("k") / CHUNK_ROWS).cast("int"))
-    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.select("token", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "comp", "n", "rep", "earlier", "bitmap")
-    cell = ["token", "x", "y"]
+    rows = groups.withColumn("cls", _size_class())
+    sizes = rows.groupBy("token", "cls").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks"))
+    next_to = lambda step, name: sizes.select("token", (F.col("cls") + step).alias("cls"), F.col("chunks").alias(name))
+    sizes = sizes.join(next_to(-1, "above"), ["token", "cls"], "left").join(next_to(1, "below"), ["token", "cls"], "left").fillna(0, ["above", "below"])
+    dealt = rows.join(sizes, ["token", "cls"]).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    upto = lambda n: F.filter(F.sequence(F.lit(0), F.greatest(F.col(n) - 1, F.lit(0))), lambda i: i < F.col(n))
+    mine, cls = F.col("mine"), F.col("cls")
+    cell = lambda c, kind, x, y, side: F.struct(c.alias("cls"), F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"), side.alias("side"))
+    cells = F.concat(
+        F.transform(upto("chunks"), lambda i: cell(cls, 0, F.least(mine, i), F.greatest(mine, i), F.when(mine <= i, F.lit(0)).otherwise(F.lit(1)))),
+        F.transform(upto("above"), lambda i: cell(cls, 1, mine, i, F.lit(0))),
+        F.transform(upto("below"), lambda i: cell(cls - 1, 1, i, mine, F.lit(1))),
+    )
+    key = ["token", "cls", "kind", "x", "y"]
+    dealt = dealt.select("token", F.explode(cells).alias("c"), "comp", "n", "rep", "bitmap").select("token", "c.*", "comp", "n", "rep", "bitmap")
 
     def traversed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        last: tuple | None = None
+        held = None  # the last cell so far, which may go on
         for pdf in batches:
-            if not len(pdf):
-                continue
-            starts = np.flatnonzero((pdf[cell] != pdf[cell].shift()).any(axis=1)).tolist()
-            for a, b in zip(starts, [*starts[1:], len(pdf)], strict=True):
-                rows = pdf.iloc[a:b]
-                this = tuple(rows[cell].iloc[0])
-                if held and this != last:
-                    yield _pairs(pd.concat(held))
-                    held = []
-                held.append(rows)
-                last = this
-        if held:
-            yield _pairs(pd.concat(held))
-
-    ordered = dealt.repartition(*cell).sortWithinPartitions(*cell, "mine", "comp", "n", "rep")
-    return ordered.mapInPandas(traversed, "a long, b long")
+            rows = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            starts = np.flatnonzero((rows[key] != rows[key].shift()).any(axis=1).to_numpy())
+            if len(starts) > 1:
+                yield _cells(rows.iloc[: starts[-1]], starts[:-1])
+            held = rows.iloc[starts[-1] :] if len(starts) else None
+        if held is not None and len(held):
+            yield _cells(held, np.zeros(1, dtype=np.int64))
+
+    ordered = dealt.repartition(*key).sortWithinPartitions(*key, "side", "comp", "n", "rep")
+    return ordered.mapInPandas(traversed, "a long, b long").distinct()
+
+
+def _cells(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    """Pairs of whole cells, which begin at starts. Cells of one node's size are tested all at once, others by trees."""
+    sizes = np.diff(np.append(starts, len(rows)))
+    out = [_pairs(rows.iloc[a : a + n]) for a, n in zip(starts.tolist(), sizes.tolist(), strict=True) if n > FANOUT]
+    small = np.repeat(sizes <= FANOUT, sizes)
+    cell = np.repeat(np.arange(len(sizes)), sizes)[small]
+    if len(cell):
+        part = rows[small]
+        maps, n, spare, comp = _leaves(part)
+        own, side, rep = ((part["kind"] == 0) & (part["x"] == part["y"])).to_numpy(), part["side"].to_numpy(), part["rep"].to_numpy()
+        for d in range(1, FANOUT):
+            i = np.flatnonzero(cell[:-d] == cell[d:]) if len(cell) > d else np.empty(0, dtype=np.int64)
+            j = i + d
+            ok = (own[i] | (side[i] != side[j])) & (comp[i] != comp[j]) & (5 * n[i] >= 4 * n[j]) & (5 * n[j] >= 4 * n[i])
+            i, j = i[ok], j[ok]
+            ok = 9 * (np.bitwise_count(maps[i] & maps[j]).sum(1) + np.minimum(spare[i], spare[j])) >= 4 * (n[i] + n[j])
+            i, j = i[ok], j[ok]
+            out.append(pd.DataFrame({"a": np.maximum(rep[i], rep[j]), "b": np.minimum(rep[i], rep[j])}))
+    return pd.concat(out).drop_duplicates()
 
 
 def _pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    own = rows["x"].iloc[0] == rows["y"].iloc[0]
-    left = rows if own else rows[rows["mine"] == rows["x"]]
-    right = left if own else rows[rows["mine"] == rows["y"]]
+    own = rows["kind"].iloc[0] == 0 and rows["x"].iloc[0] == rows["y"].iloc[0]
+    left = rows[rows["side"] == 0]
+    right = left if own else rows[rows["side"] == 1]
     if not len(left) or not len(right):
         return pd.DataFrame({"a": [], "b": []}, dtype="int64")
     x = SignatureTree.of(left)
     i, j = dual_traversal(x, x if own else SignatureTree.of(right), own)
-    le, re = [frozenset(x) for x in left["earlier"]], [frozenset(x) for x in right["earlier"]]
-    first = np.array([le[p].isdisjoint(re[q]) for p, q in zip(i.tolist(), j.tolist(), strict=True)], dtype=bool)
-    i, j = i[first], j[first]
     a, b = left["rep"].to_numpy()[i], right["rep"].to_numpy()[j]
     return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
@@ -225,16 +259,16 @@ def _mixed(keys: DataFrame, turn: int = 0) -> DataFrame:
 
 
 def rarest(sets: DataFrame, places: Column) -> DataFrame:
-    """rep, n, token, earlier: the first `places` tokens of each set (rep, n, tokens) in the order by rarity.
+    """rep, n, token: the first `places` tokens of each set (rep, n, tokens) in the order by rarity.
 
-    Tokens of one set alone come first; they use up places and are not returned. earlier: the returned ones before it.
+    Tokens of one set alone come first; they use up places and are not returned.
     """
     tokens = sets.select("rep", "n", F.size("tokens").alias("s"), F.explode("tokens").alias("token"))
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     mine = tokens.join(common, "token").groupBy("rep").agg(F.first("n").alias("n"), F.first("s").alias("s"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
     left = (places - (F.col("s") - F.size("t"))).cast("int")
-    kept = mine.withColumn("left", left).filter("left > 0").select("rep", "n", F.slice("t.token", 1, F.col("left")).alias("t"))
-    return kept.select("rep", "n", "t", F.posexplode("t").alias("at", "token")).select("rep", "n", "token", F.slice("t", 1, F.col("at")).alias("earlier"))
+    kept = mine.withColumn("left", left).filter("left > 0")
+    return kept.select("rep", "n", F.explode(F.slice("t.token", 1, F.col("left"))).alias("token"))
 
 
 def _pivot_pairs(keys: DataFrame, turn: int) -> DataFrame:
@@ -249,8 +283,7 @@ def join_classes(classes: DataFrame, docs: DataFrame, n: int = N, percent: int =
     spark = classes.sparkSession
     labels = spark.createDataFrame([], "rep long, component long")
     places = F.least(F.col("n"), F.lit(SKETCH)) - required(F.col("n")) + 1
-    keys = rarest(classes.select("rep", "n", F.col("sketch").alias("tokens")), places).select("rep", "n", "token")
-    keys = stored(keys, "keys")
+    keys = stored(rarest(classes.select("rep", "n", F.col("sketch").alias("tokens")), places), "keys")
     alike = keys.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
     texts = stored(docs.join(keys.join(alike, "token", "left_semi").select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"]), "texts")
     links = None
@@ -273,25 +306,58 @@ def join_classes(classes: DataFrame, docs: DataFrame, n: int = N, percent: int =
     return _labels(found if links is None else links.union(found))
 
 
+def _classes(docs: DataFrame, id_col: str, text: str, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sketches of every row, classes, texts by class): a class is a set with a number of its own."""
+    every = stored(sketches(docs, id_col, text, n), "sketches")
+    named = every.filter("n_shingles > 0 and doc_id is not null")
+    first = named.groupBy("set").agg(F.min(F.struct("doc_id", "text_hash", F.col("n_shingles").alias("n"), "sketch")).alias("c"))
+    classes = stored(first.select("set", F.monotonically_increasing_id().alias("rep"), "c.*"), "classes")
+    # An id may stand with several texts, so a class's text is known by its id and hash.
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    return every, classes, own.join(classes.select("doc_id", "text_hash", "rep"), ["doc_id", "text_hash"]).select("rep", "text")
+
+
+def jaccard_pairs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(links, members): all links (a, b) between classes of equal sets, and class, doc_id, n_shingles, n_links of rows.
+
+    The whole join: prefixes of whole sets and signature trees alone, and no pair is left out because others connect
+    its classes. n_links counts the other classes that a row's class is linked with; equal sets are one class and not
+    linked with themselves. A row without words has no class, one with a null doc_id neither, and no links.
+    """
+    if percent < 80:
+        raise ValueError("the prefix bounds hold for 80 percent and more")
+    every, classes, texts = _classes(docs, id_col, text, n)
+    texts = stored(texts.dropDuplicates(["rep"]), "texts")
+    sets = stored(whole_sets(texts, n), "sets")
+    keys = stored(rarest(sets, F.floor(F.col("n") / 5) + 1), "keys").withColumn("comp", F.col("rep"))
+    alike = keys.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
+    groups = keys.join(alike, "token", "left_semi").join(sets.select("rep", "bitmap"), "rep")
+    links = stored(similar(tree_pairs(groups), texts, n, percent), "links")
+    counts = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
+    known = classes.select("set", "rep").join(counts, "rep", "left")
+    named = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    members = every.select("doc_id", "n_shingles", "set").withColumn("set", F.when(named, F.col("set"))).join(known, "set", "left")
+    return links, members.select(F.col("rep").alias("class"), "doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every row.
 
     A null text and one without words have no shingles and their own id as component. Fewer than n words are one
-    shingle. Equal sets are linked. component_id is the smallest doc_id that links lead to. Rows with the same doc_id
-    and text are one document, and all of them are returned; a null doc_id gets a null component. Other columns of
-    docs are not read.
+    shingle. Equal sets are linked. component_id is the smallest doc_id that links lead to. Rows that repeat a doc_id
+    are all returned, each by its own text; a null doc_id gets a null component. Other columns of docs are not read.
     """
     if percent < 80:
         raise ValueError("the sketch bounds hold for 80 percent and more")
-    every = stored(sketches(docs, id_col, text, n), "sketches")
-    named = every.filter("n_shingles > 0 and doc_id is not null")
-    classes = named.groupBy("set").agg(F.min(F.struct(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch")).alias("c"))
-    classes = stored(classes.select("set", "c.*"), "classes")
-    comps = join_classes(classes, docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text).alias("text")), n, percent)
-    by_set = classes.select("set", "rep").join(comps, "rep", "left").select("set", F.coalesce("component", "rep").alias("component"))
+    every, classes, texts = _classes(docs, id_col, text, n)
+    comps = stored(join_classes(classes, texts, n, percent), "components")
+    linked = classes.join(comps, "rep")
+    first = linked.groupBy("component").agg(F.min("doc_id").alias("first"))
+    by_set = classes.join(linked.join(first, "component").select("rep", "first"), "rep", "left").select("set", F.coalesce("first", "doc_id").alias("component"))
     out = every.select("doc_id", "n_shingles", "set").join(by_set, "set", "left")
     alone = F.col("n_shingles") == 0
-    return out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+    lost = F.col("doc_id").isNull()
+    return out.select("doc_id", "n_shingles", F.when(alone | lost, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

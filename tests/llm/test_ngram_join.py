@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pandas as pd
 import pytest
+from helpers import have_data
 
 from kindred.llm import ngram_join
 from kindred.llm.components import components
@@ -88,6 +89,48 @@ def test_edges(spark):
     assert got[:2] == [(1, 1, 1), (1, 1, 1)] and len(got) == 3
 
 
+@pytest.mark.parametrize("chunk", [8, 1024])
+def test_every_link_between_different_sets(spark, monkeypatch, chunk):
+    monkeypatch.setattr(ngram_join, "CHUNK_ROWS", chunk)
+    rows = corpus(6, 8, 30, 250, 4) + [(5000, None), (5001, "")]
+    sets = {d: shingles(t) for d, t in rows}
+    links, members = ngram_join.jaccard_pairs(spark.createDataFrame(rows, "doc_id long, text string"))
+    members = members.collect()
+    of = {}
+    for m in members:
+        assert m["n_shingles"] == len(sets[m["doc_id"]])
+        of.setdefault(m["class"], set()).add(sets[m["doc_id"]])
+    assert all(len(v) == 1 for c, v in of.items() if c is not None) and of[None] == {frozenset()}
+    kind = {c: next(iter(v)) for c, v in of.items() if c is not None}
+    ids = sorted(kind)
+    assert len(set(kind.values())) == len(ids)
+    want = {(b, a) for i, a in enumerate(ids) for b in ids[i + 1 :] if 100 * len(kind[a] & kind[b]) >= 80 * len(kind[a] | kind[b])}
+    got = [(r["a"], r["b"]) for r in links.collect()]
+    assert set(got) == want and len(got) == len(want) and len(want) > 50
+    assert all(m["n_links"] == sum(m["class"] in p for p in want) for m in members)
+
+
+def test_one_id_with_several_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (0, "other words")]
+    got = sorted(map(tuple, jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == [(0, 1, 0), (1, 36, 1), (1, 36, 1), (2, 37, 1), (3, 37, 1)]
+
+
+@pytest.mark.skipif(not have_data(), reason="no test tables")
+def test_query_against_brute_force(spark, sf):
+    rows = [(r[0], r[1]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    assert sorted(map(tuple, ngram_join.op6_ngram_jaccard_join(spark, sf).collect())) == brute(rows)
+
+
+def test_long_near_copies(spark, monkeypatch):
+    """200,000 words each: no key carries the others of its set."""
+    monkeypatch.setattr(ngram_join, "PIVOT_ROUNDS", 0)
+    long = [f"x{i}" for i in range(200_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:-900] + ["z"] * 900)), (3, " ".join(f"q{i}" for i in range(500)))]
+    assert [r[2] for r in ours(spark, rows)] == [1, 1, 3]
+
+
 def test_very_long_text(spark):
     long = " ".join(f"x{i}" for i in range(300_000))
     assert ours(spark, [(1, long), (2, long + " tail"), (3, "y " * 50)]) == [(1, 299_996, 1), (2, 299_997, 1), (3, 1, 3)]
