@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm.common import column_name, stored
-from kindred.llm.decontaminate import leaks
+from kindred.llm.common import column_name, forget, stored
+from kindred.llm.decontaminate import without_leaks
 from kindred.llm.language_id import identify
 from kindred.llm.ngram_join import jaccard_components
 from kindred.llm.packing import pack
@@ -18,34 +18,29 @@ from kindred.llm.secret_scan import SecretFilter, redact, scan
 
 #: SQL can't express these stages; tests/llm holds them against brute force.
 ORACLE_SQL = None
-#: A text of at least so many letters and a lower cosine than this with every learned language is in none of them.
-#: Prose of that length lies above 0.3; shorter texts say too little to be rejected.
-LEAST_LETTERS, LEAST_SCORE = 100, 0.2
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters, and those of some length that no learned language is near to."""
-    judged = identify(docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("__row")))
-    short = F.length(F.regexp_replace("text", r"\P{L}+", "")) < LEAST_LETTERS
-    return judged.filter((F.col("lang_pred") != "und") & ((F.col("score") >= LEAST_SCORE) | short)).select("__row.*")
-
-
-def _rows(docs: DataFrame) -> tuple[DataFrame, str]:
-    """docs with a number for every row, stored so that all reads see the same ones, and the number's name."""
-    row = column_name(docs, "row")
-    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+    """Drops documents that the operator puts into no language: those without a letter (und)."""
+    own = column_name(docs, "row")
+    judged = identify(docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias(own)))
+    return judged.filter(F.col("lang_pred") != "und").select(f"{own}.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each component, and one of rows that repeat a doc_id and its text.
+    """Keeps the smallest doc_id of each component, and one of the rows that repeat a doc_id and its text.
 
     Documents without words are in no component and stay, as do rows with a null doc_id. Different texts with one
-    doc_id are documents of their own: where there are any, rows are numbered and joined by their numbers.
+    doc_id are documents of their own: where any id repeats, rows are numbered and joined by their numbers. Of rows that
+    repeat an id and its text the one whose other columns come first in order stays.
     """
     repeated = stored(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null").select("doc_id"), "repeated")
     if not repeated.isEmpty():
-        once = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-        numbered, row = _rows(docs.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(once))
+        row, whole = column_name(docs, "row"), column_name(docs, "whole")
+        again = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns)
+        once = again.groupBy("doc_id", F.md5(F.col("text").cast("binary"))).agg(F.min(F.struct(*docs.columns)).alias(whole)).select(f"{whole}.*")
+        others = docs.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+        numbered = stored(others.union(once).withColumn(row, F.monotonically_increasing_id()), "rows")
         # Rows with a null doc_id get a null row, so that they are in no component.
         asked = numbered.select(F.when(F.col("doc_id").isNotNull(), F.col(row)).alias(row), "doc_id", "text")
         labelled = jaccard_components(asked, id_col=row).filter("component_id is not null and n_shingles > 0")
@@ -58,18 +53,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a passage of the benchmark. Rows are searched and dropped by their own numbers."""
-    numbered, row = _rows(docs)
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = leaks(numbered.select(F.col(row).alias("doc_id"), "text"), items).select(F.col("doc_id").alias(row)).distinct()
-    return numbered.join(stored(found, "leaks"), row, "left_anti").select(*docs.columns)
+    """Drops documents that hold a passage of the benchmark. Each row is judged by its own text."""
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces confirmed secrets; every document stays. Rows are scanned and changed by their own numbers."""
-    numbered, row = _rows(docs)
-    findings = stored(scan(numbered, SecretFilter.default(spark), id_col=row).filter("is_secret"), "secrets")
-    return redact(numbered, findings, id_col=row).select(*docs.columns)
+    """Replaces confirmed secrets; every document stays. Findings belong to an id and its text."""
+    findings = stored(scan(docs, SecretFilter.default(spark, docs)).filter("is_secret"), "secrets")
+    return redact(docs, findings)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,6 +79,8 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    for k, (name, stage) in enumerate(STAGES):
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+        if k:  # no later stage reads what the one before the last wrote
+            forget(before)
     return docs
