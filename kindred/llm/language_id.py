@@ -15,9 +15,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kindred.llm.common import column_name, stored
+
 DIMENSIONS, SEED = 1024, 20240229
-#: Languages are few by nature; more distinct labels than this mean that the label column holds something else.
-MAX_LANGUAGES = 2000
+#: Prototypes that workers get at once, and trigrams and languages that a worker sums up before it passes them on.
+LANGUAGE_BLOCK, HELD_TRIGRAMS, HELD_LANGUAGES = 2000, 400_000, 500
 #: Trigram vectors that a worker keeps (float32). Others are bound anew when they occur.
 KEPT_TRIGRAMS = 16_384
 
@@ -82,15 +84,16 @@ def trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(codes, return_counts=True)
 
 
-def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS, seed: int = SEED) -> dict[str, np.ndarray]:
-    """Prototypes by language, over all labelled rows; rows with a null text or label, or no letter, teach nothing.
+def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS, seed: int = SEED) -> DataFrame:
+    """Prototypes (lang, v; stored) of all labelled rows; rows with a null text or label, or no letter, teach nothing.
 
     Each text counts with its trigrams' relative frequencies, so a long one weighs as much as a short one. Workers
     return one vector a language and partition; Spark sums them by (language, coordinate).
     """
 
     def bundled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vectors, sums, docs = LetterVectors(dimensions, seed), {}, {}
+        vectors, sums, done = LetterVectors(dimensions, seed), {}, {}
+        held = 0
         for pdf in batches:
             for t, label in zip(pdf["text"], pdf["lang"], strict=True):
                 if not has_letter(t):
@@ -99,54 +102,85 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", dimension
                 if not len(codes):
                     continue
                 mine = sums.setdefault(label, {})
-                total = counts.sum()
+                total, before = counts.sum(), len(mine)
                 for code, n in zip(codes.tolist(), (counts / total).tolist(), strict=True):
                     mine[code] = mine.get(code, 0.0) + n
-                docs[label] = docs.get(label, 0) + 1
-                if len(mine) > 200_000:  # binds what it holds before the dictionary grows without end
-                    done = docs.setdefault(("sum", label), np.zeros(dimensions))
-                    done += vectors.bundle(np.array(list(mine), dtype=np.int64), np.array(list(mine.values())))
-                    mine.clear()
+                held += len(mine) - before
+                if held > HELD_TRIGRAMS:  # binds what it holds before the dictionaries grow without end
+                    for key, x in sums.items():
+                        done[key] = done.get(key, 0) + vectors.bundle(np.array(list(x), dtype=np.int64), np.array(list(x.values())))
+                    sums, held = {}, 0
+                    if len(done) > HELD_LANGUAGES:
+                        yield _vectors(done)
+                        done = {}
         for label, mine in sums.items():
-            v = vectors.bundle(np.array(list(mine), dtype=np.int64), np.array(list(mine.values()))) + docs.get(("sum", label), 0)
-            yield pd.DataFrame({"lang": [label], "v": [v.tolist()]})
+            done[label] = done.get(label, 0) + vectors.bundle(np.array(list(mine), dtype=np.int64), np.array(list(mine.values())))
+        for label in list(done):
+            yield _vectors({label: done.pop(label)})
 
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text is not null and lang is not null")
     sums = rows.mapInPandas(bundled, "lang string, v array<double>").select("lang", F.posexplode("v").alias("place", "x")).groupBy("lang", "place").agg(F.sum("x").alias("x"))
-    found = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "x"))).alias("v")).limit(MAX_LANGUAGES + 1).collect()
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"over {MAX_LANGUAGES} languages")
-    return {r["lang"]: np.array([x["x"] for x in r["v"]]) for r in sorted(found, key=lambda r: r["lang"])}
+    found = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "x"))).alias("p"))  # `dimensions` entries each
+    return stored(found.select("lang", F.col("p.x").alias("v")), "prototypes")
+
 
+def _vectors(sums: dict[str, np.ndarray]) -> pd.DataFrame:
+    return pd.DataFrame({"lang": list(sums), "v": [v.tolist() for v in sums.values()]})
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text", dimensions: int = DIMENSIONS, seed: int = SEED) -> DataFrame:
+
+def predict(docs: DataFrame, prototypes: DataFrame, text: str = "text", dimensions: int = DIMENSIONS, seed: int = SEED, block: int = LANGUAGE_BLOCK) -> DataFrame:
     """Adds lang_pred and score, the cosine (negative ones count as 0).
 
-    A null text, one without a letter, and any text if nothing was learned get `und` and 0. Equal cosines go to the
-    language that sorts first. Columns of the input with these names are replaced.
+    prototypes: lang, v. A null text, one without a letter, and any text if nothing was learned get `und` and 0. Equal
+    cosines go to the language that sorts first. Columns of the input with these names are replaced. Prototypes are
+    sent to workers in blocks of so many languages; each further block is one more pass over the texts' trigrams.
     """
-    names = list(prototypes)
-    matrix = np.array([prototypes[n] / max(np.linalg.norm(prototypes[n]), 1e-300) for n in names])
-
-    @F.pandas_udf("lang_pred string, score double")
+    found: list[Column] = []
+    names: list[str] = []
+    rows: list[list[float]] = []
+
+    def judged(known: int) -> Column:
+        return _nearest(names, np.array(rows), known, dimensions, seed)(F.col(text))
+
+    known = 0
+    for r in prototypes.orderBy("lang").toLocalIterator():  # at most `block` of them are held
+        names.append(r["lang"])
+        rows.append(r["v"])
+        if len(names) == block:
+            found.append(judged(known))
+            known, names, rows = known + block, [], []
+    if names:
+        found.append(judged(known))
+    columns = [column_name(docs, f"nearest_{i}") for i in range(len(found))]
+    out = docs.withColumns(dict(zip(columns, found, strict=True))) if found else docs
+    best = F.greatest(*columns) if len(columns) > 1 else F.col(columns[0]) if columns else F.lit(None).cast("struct<score:double,place:long,lang_pred:string>")
+    chosen = column_name(docs, "nearest")
+    out = out.withColumn(chosen, best).drop(*columns)
+    score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.col(chosen)["score"], F.lit(0.0))))
+    return out.withColumns({"lang_pred": F.coalesce(F.col(chosen)["lang_pred"], F.lit("und")), "score": score}).drop(chosen)
+
+
+def _nearest(names: list[str], vectors: np.ndarray, known: int, dimensions: int, seed: int):
+    """A UDF: (highest cosine, minus its language's place among all, language), null for texts without a letter."""
+    matrix = vectors / np.maximum(np.linalg.norm(vectors, axis=1), 1e-300)[:, None]
+
+    @F.pandas_udf("score double, place long, lang_pred string")
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        vectors = LetterVectors(dimensions, seed)
+        letters = LetterVectors(dimensions, seed)
         for texts in batches:
-            langs, scores = [], []
+            out = []
             for t in texts:
-                if t is None or not names or not has_letter(t):
-                    langs.append("und")
-                    scores.append(0.0)
+                if t is None or not has_letter(t):
+                    out.append(None)
                     continue
-                v = vectors.bundle(*trigrams(t))
+                v = letters.bundle(*trigrams(t))
                 cosines = np.round(matrix @ v / max(np.linalg.norm(v), 1e-300), 6)
                 k = int(cosines.argmax())
-                langs.append(names[k])
-                scores.append(min(1.0, max(0.0, float(cosines[k]))))
-            yield pd.DataFrame({"lang_pred": pd.Series(langs, dtype="object"), "score": pd.Series(scores, dtype="float64")})
+                out.append((float(cosines[k]), -known - k, names[k]))
+            x = [o or (None, None, None) for o in out]
+            yield pd.DataFrame({"score": pd.array([o[0] for o in x], dtype="Float64"), "place": pd.array([o[1] for o in x], dtype="Int64"), "lang_pred": pd.Series([o[2] for o in x], dtype="object")})
 
-    out = docs.withColumn("__p", predicted(F.col(text)))
-    return out.withColumns({"lang_pred": F.col("__p.lang_pred"), "score": F.col("__p.score")}).drop("__p")
+    return predicted
 
 
 def held_out(doc_id: str) -> Column:

@@ -253,22 +253,30 @@ def _with_components(keys: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _mixed(keys: DataFrame, turn: int = 0) -> DataFrame:
-    """token, pivot, pc, pn of groups with several components: one class of each, and its component and size."""
-    first = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), F.col("rep").alias("pivot"), F.col("comp").alias("pc"), F.col("n").alias("pn"))).alias("p")
+    """token, pivot, pc, pn of groups with several components: one class of each, and its component and size.
+
+    In even turns it is the class whose tokens stand in most sets, which is the likeliest to be near to many (a text that
+    others were made from); in odd ones any.
+    """
+    any_ = F.xxhash64("rep", F.lit(turn))
+    order = [-F.col("shared"), any_] if turn % 2 == 0 else [any_, F.col("shared")]
+    first = F.min(F.struct(order[0].alias("o"), order[1].alias("h"), F.col("rep").alias("pivot"), F.col("comp").alias("pc"), F.col("n").alias("pn"))).alias("p")
     return keys.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), first).filter("lo <> hi").select("token", "p.pivot", "p.pc", "p.pn")
 
 
 def rarest(sets: DataFrame, places: Column) -> DataFrame:
-    """rep, n, token: the first `places` tokens of each set (rep, n, tokens) in the order by rarity.
+    """rep, n, token, shared: the first `places` tokens of each set (rep, n, tokens) in the order by rarity.
 
-    Tokens of one set alone come first; they use up places and are not returned.
+    Tokens of one set alone come first; they use up places and are not returned. shared: in how many sets its tokens
+    stand, summed up.
     """
     tokens = sets.select("rep", "n", F.size("tokens").alias("s"), F.explode("tokens").alias("token"))
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     mine = tokens.join(common, "token").groupBy("rep").agg(F.first("n").alias("n"), F.first("s").alias("s"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
     left = (places - (F.col("s") - F.size("t"))).cast("int")
-    kept = mine.withColumn("left", left).filter("left > 0")
-    return kept.select("rep", "n", F.explode(F.slice("t.token", 1, F.col("left"))).alias("token"))
+    shared = F.aggregate("t.df", F.lit(0).cast("long"), lambda x, df: x + df)
+    kept = mine.withColumns({"left": left, "shared": shared}).filter("left > 0")
+    return kept.select("rep", "n", "shared", F.explode(F.slice("t.token", 1, F.col("left"))).alias("token"))
 
 
 def _pivot_pairs(keys: DataFrame, turn: int) -> DataFrame:

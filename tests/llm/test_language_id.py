@@ -36,7 +36,7 @@ def test_cosines_equal_those_of_whole_vectors(spark):
     v = LetterVectors(256, language_id.SEED)
     got = predict(docs(spark, [(1, "the dog went home", None)]), prototypes, dimensions=256).first()
     text = v.bundle(*trigrams("the dog went home"))
-    cos = {k: float(text @ p / np.linalg.norm(text) / np.linalg.norm(p)) for k, p in prototypes.items()}
+    cos = {r["lang"]: float(text @ np.array(r["v"]) / np.linalg.norm(text) / np.linalg.norm(r["v"])) for r in prototypes.collect()}
     assert got["lang_pred"] == max(cos, key=cos.get) == "en" and abs(got["score"] - cos["en"]) < 1e-5
 
 
@@ -46,6 +46,18 @@ def test_held_out_by_checksum(spark):
     assert got == {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in range(40)}
 
 
+def test_blocks_of_languages_give_the_same(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    rows = [(i, " ".join("".join(chr(97 + x) for x in r.integers(0, 26, 5)) for _ in range(12)), f"l{i:02d}") for i in range(30)]
+    df = docs(spark, rows)
+    monkeypatch.setattr(language_id, "HELD_TRIGRAMS", 50)
+    monkeypatch.setattr(language_id, "HELD_LANGUAGES", 3)
+    prototypes = learn(df.repartition(2), dimensions=128)
+    assert prototypes.count() == 30
+    got = [sorted((x["doc_id"], x["lang_pred"], x["score"]) for x in predict(df, prototypes, dimensions=128, block=b).collect()) for b in (2000, 7, 1)]
+    assert got[0] == got[1] == got[2] and all(lang == f"l{i:02d}" for i, lang, _ in got[0])
+
+
 def test_edges(spark):
     assert identify(docs(spark, [])).count() == 0
     rows = [(i, EN, "en") for i in range(9)] + [(20, None, "en"), (21, "", None), (22, "123 $$ _ ½ Ⅷ ²", "en"), (23, "a", None), (None, DE, "zz"), (9, EN, "en"), (9, EN, "en"), (24, (EN + " ") * 3000, None)]
