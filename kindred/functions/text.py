@@ -43,10 +43,18 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, " "), lambda w: w != "")
 
 
+def characters(text: Column) -> Column:
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
 def grams(text: Column, n: int) -> Column:
-    """Distinct n-grams; the text itself if it is shorter; none of an empty text."""
+    """Distinct n-grams; the text itself if it is shorter; none of an empty text. Linear in the text's length."""
+    chars = characters(text)
+    every = F.zip_with(chars, F.slice(chars, 2, F.greatest(F.length(text), F.lit(1))), lambda x, y: F.concat(x, y))
+    for k in range(2, n):
+        every = F.zip_with(every, F.slice(chars, k + 1, F.greatest(F.length(text), F.lit(1))), lambda x, y: F.concat(x, y))
     return (
-        F.when(F.length(text) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i: F.substring(text, i, n))))
+        F.when(F.length(text) >= n, F.array_distinct(F.slice(every, F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(0)))))
         .when(F.length(text) > 0, F.array(text))
         .otherwise(F.array().cast("array<string>"))
     )
@@ -68,13 +76,8 @@ def edit_similarity(a: Column, b: Column, cap: int = 80) -> Column:
 def common_prefix(a: Column, b: Column) -> Column:
     """How many leading characters agree."""
     n = F.least(F.length(a), F.length(b))
-    run = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        F.struct(F.lit(0).alias("k"), F.lit(True).alias("on")),
-        lambda s, i: F.struct(F.when(s["on"] & (F.substring(a, i, 1) == F.substring(b, i, 1)), s["k"] + 1).otherwise(s["k"]).alias("k"), (s["on"] & (F.substring(a, i, 1) == F.substring(b, i, 1))).alias("on")),
-        lambda s: s["k"],
-    )
-    return F.when(n > 0, run).otherwise(F.lit(0))
+    differs = F.array_position(F.zip_with(characters(a), characters(b), lambda x, y: F.coalesce(x == y, F.lit(False))), False)
+    return F.when(n == 0, F.lit(0)).when(differs > 0, (differs - 1).cast("int")).otherwise(n)
 
 
 def common_suffix(a: Column, b: Column) -> Column:

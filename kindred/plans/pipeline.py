@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from copy import copy
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -38,6 +39,12 @@ class LinkagePipeline:
         if persist:
             self.anchors, self.targets = (x.persist(StorageLevel.MEMORY_AND_DISK) for x in (self.anchors, self.targets))
 
+    def of_anchors(self, anchors: DataFrame) -> LinkagePipeline:
+        """The same targets, normalised as they are, for other anchors."""
+        out = copy(self)
+        out.anchors = normalize.normalized(anchors).persist(StorageLevel.MEMORY_AND_DISK)
+        return out
+
     def close(self) -> None:
         self.anchors.unpersist()
         self.targets.unpersist()

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from contextvars import ContextVar
+from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,9 +23,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+#: What the last query keeps in memory and on disk; the next one lets it go.
+_KEPT: list[Callable[[], object]] = []
+
+
 def _query(name: str, oracle: str | None = None):
     def put(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = f
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            close()
+            return f(spark, sf)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLE_SQL[name] = sql.with_views(oracle)
         return f
@@ -33,12 +41,14 @@ def _query(name: str, oracle: str | None = None):
     return put
 
 
-#: Whether entities are built from whole texts: in the queries named whole_...
-_WHOLE: ContextVar[bool] = ContextVar("whole", default=False)
+def close() -> None:
+    """Frees the tables that the last query keeps. Its result can still be read; it is worked out anew then."""
+    while _KEPT:
+        _KEPT.pop()()
 
 
 def _ents(spark: SparkSession, sf: str) -> DataFrame:
-    return document_entities(spark, sf, whole=_WHOLE.get())
+    return document_entities(spark, sf)
 
 
 def _norm(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,7 +57,9 @@ def _norm(spark: SparkSession, sf: str) -> DataFrame:
 
 def _pipe(spark: SparkSession, sf: str, **config) -> LinkagePipeline:
     e = _ents(spark, sf)
-    return LinkagePipeline(e.filter("source = 'S1'"), e.filter("source <> 'S1'"), LinkageConfig(**config))
+    p = LinkagePipeline(e.filter("source = 'S1'"), e.filter("source <> 'S1'"), LinkageConfig(**config))
+    _KEPT.append(p.close)
+    return p
 
 
 def _joined(c: str) -> Column:
@@ -59,10 +71,11 @@ def _r(c: Column | str) -> Column:
 
 
 def _truth_long(spark: SparkSession, sf: str) -> DataFrame:
-    """Pseudo truth: records of different sources with equal lower-cased names."""
-    e = _ents(spark, sf).select("entity_id", "source", F.lower("business_name").alias("n"))
+    """Pseudo truth: records of different sources whose names and addresses are equal but for their case."""
+    same = ["name", "address"]
+    e = _ents(spark, sf).select("entity_id", "source", F.lower("business_name").alias("name"), F.lower("business_address").alias("address"))
     a, b = e.filter("source = 'S1'"), e.filter("source <> 'S1'")
-    return a.select(_c("entity_id").alias("s1_id"), "n").join(b.select(_c("entity_id").alias("target_id"), "n"), "n").select("s1_id", "target_id")
+    return a.select(_c("entity_id").alias("s1_id"), *same).join(b.select(_c("entity_id").alias("target_id"), *same), same).select("s1_id", "target_id")
 
 
 def _truth(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,8 +115,7 @@ def _(spark, sf):
 @_query("norm_url", sql.URL_ORACLE)
 def _(spark, sf):
     p = spark.read.parquet(f"{sf}/pages.parquet")
-    bare = F.regexp_extract("url", r"^[^?#]*?://[^/?#]*", 0)
-    return p.select("page_id", F.regexp_replace(F.regexp_replace(F.lower(bare), "(?i)" + fixed.URL_PREFIX, ""), "(?i)" + fixed.DOMAIN_SUFFIX, "").alias("value"))
+    return p.select("page_id", F.regexp_replace(F.regexp_replace(F.lower("url"), "(?i)" + fixed.URL_PREFIX, ""), "(?i)" + fixed.DOMAIN_SUFFIX, "").alias("value"))
 
 
 # Blocking.
@@ -281,7 +293,7 @@ def _(spark, sf):
 
 @_query("false_negatives", sql.FALSE_NEGATIVES)
 def _(spark, sf):
-    return diagnostics.false_negatives(_truth_long(spark, sf), _pipe(spark, sf, strategies=["address_exact_combo"]).raw_pairs(), _ents(spark, sf))
+    return diagnostics.false_negatives(_truth_long(spark, sf), _pipe(spark, sf, strategies=["address_salient_combo"]).raw_pairs(), _ents(spark, sf))
 
 
 @_query("loss_attribution", sql.LOSS)
@@ -378,53 +390,85 @@ def _(spark, sf):
 
 @_query("validate_violations", sql.VIOLATIONS)
 def _(spark, sf):
-    """Result files with known faults: candidates of one strategy, matches of another, two anchors' lines swapped."""
+    """Result files with known faults: candidates of one strategy, matches of all, two anchors' lines swapped, and an
+    id that no target has. A record's number is its line."""
     p = _pipe(spark, sf, strategies=["exact_name"])
-    line = F.when(_c("source1_entity_id") == "S1-0", 3).when(_c("source1_entity_id") == "S1-3", 0).otherwise(F.regexp_extract("source1_entity_id", r"\d+$", 0).cast("int"))
-    order = lambda df: df.withColumn("line", (line / 3).cast("int"))
-    wide = refine.per_anchor(p.anchors, p.raw_pairs(), "candidate_entity_ids")
-    found = refine.per_anchor(p.anchors, _truth_long(spark, sf), "matched_entity_ids")
-    pool = p.targets.filter("seq % 7 <> 0") if not _WHOLE.get() else p.targets
-    if _WHOLE.get():  # every target is in the pool; an id that no target has is the fault
-        wide, found = (x.withColumn(c, F.when(_c("source1_entity_id") == "S1-0", F.concat_ws(",", F.when(_c(c) != "", _c(c)), F.lit("S2-unknown"))).otherwise(_c(c))) for x, c in ((wide, "candidate_entity_ids"), (found, "matched_entity_ids")))
-    out = validate.violations(order(wide), order(found), p.anchors, pool)
+    s1 = _c("source1_entity_id")
+    line = F.when(s1 == "S1-0", 1).when(s1 == "S1-1", 0).otherwise(F.regexp_extract(s1, r"\d+$", 0).cast("long"))
+    file = lambda df, c: df.withColumns({"line": line, c: F.when(s1 == "S1-0", F.concat_ws(",", F.when(_c(c) != "", _c(c)), F.lit("S2-unknown"))).otherwise(_c(c))})
+    wide = file(refine.per_anchor(p.anchors, p.raw_pairs(), "candidate_entity_ids"), "candidate_entity_ids")
+    found = file(refine.per_anchor(p.anchors, _truth_long(spark, sf), "matched_entity_ids"), "matched_entity_ids")
+    out = validate.violations(wide, found, p.anchors, p.targets)
     return out.withColumn("detail", F.when(_c("rule") != "match_not_in_candidates", _c("detail")))
 
 
-# Models: rows only.
-def _model_scores(kind: str, **size):
+# Models, at their full sizes. Rows are worked out once and kept until the next query.
+def _kept_rows(rows: DataFrame) -> DataFrame:
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(kept.unpersist)
+    return kept
+
+
+def _model_scores(kind: str, columns: Sequence[str] = fixed.FEATURES, **options):
     def run(spark, sf):
-        rows = _scored(spark, sf).drop("prob")
-        fitted = model.train(rows, kind, **size)
+        rows = _kept_rows(_scored(spark, sf).drop("prob"))
+        fitted = model.train(rows, kind, columns, **options)
         return model.predict(fitted, rows).select("s1_id", "target_id", "label", F.round("prob", 6).alias("prob"))
 
     return run
 
 
-QUERIES["model_lr_scores"] = _model_scores("logistic")
-QUERIES["model_rf_scores"] = _model_scores("random_forest", trees=20, depth=8)
-QUERIES["model_gbt_scores"] = _model_scores("hist_gradient_boosting", trees=10, depth=4)
-QUERIES["model_extra_trees_scores"] = _model_scores("extra_trees", trees=20, depth=8)
+for _name, _kind in (("lr", "logistic"), ("rf", "random_forest"), ("gbt", "hist_gradient_boosting"), ("extra_trees", "extra_trees")):
+    _query(f"model_{_name}_scores")(_model_scores(_kind))
+_query("model_lr_balanced_scores")(_model_scores("logistic", balanced=True))
 
 
-@_query("pipeline_matches")
+@_query("model_at_threshold")
 def _(spark, sf):
-    p = _pipe(spark, sf)
-    store = features.FrequencyStore(p.anchors)
-    rows = features.labelled(p.features(store), _truth_long(spark, sf))
-    return p.match_lists(model.train(rows, "logistic"), store)
+    """Entity and pair metrics of the logistic model at the decision threshold."""
+    scored = _model_scores("logistic")(spark, sf)
+    return metrics.evaluate_at_threshold(scored, _truth(spark, sf))
+
 
+@_query("model_ablations")
+def _(spark, sf):
+    """Each feature subset of the ablation experiments: its size, and its best threshold by macro F0.5."""
+    rows = _kept_rows(_scored(spark, sf).drop("prob"))
+    return model.run_ablations(rows, _truth(spark, sf), "logistic")
 
-def _over_whole_texts(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf: str) -> DataFrame:
-        held = _WHOLE.set(True)
-        try:
-            return query(spark, sf)
-        finally:
-            _WHOLE.reset(held)
 
-    return run
+@_query("evaluate_at_threshold", sql.AT_THRESHOLD)
+def _(spark, sf):
+    return metrics.evaluate_at_threshold(_scored(spark, sf), _truth(spark, sf))
+
+
+@_query("correlated_pairs", sql.CORRELATED)
+def _(spark, sf):
+    return profile.correlated_pairs(_scored(spark, sf), fixed.FEATURE_GROUPS["name"], 0.9).select("a", "b", F.round("r", 6).alias("r"))
 
 
-# The SQL fixes the view of the queries above; these read whole texts and have none.
-QUERIES |= {f"whole_{name}": _over_whole_texts(query) for name, query in list(QUERIES.items()) if name != "id_overlap"}
+@_query("malformed_lines", "SELECT count(*) AS n_lines, count(*) FILTER (len(string_split(line, '|')) <> 1) AS n_malformed FROM source_lines")
+def _(spark, sf):
+    """Lines of the documents, with a bar in the place of the tab."""
+    lines = spark.read.parquet(f"{sf}/documents.parquet").select(F.explode(F.split("text", "\n", -1)).alias("line"))
+    return profile.malformed_lines(lines.select(F.translate("line", "|", "\t").alias("value")), 1)
+
+
+@_query("baseline_candidates", "SELECT entity_id AS source1_entity_id, 0 AS n_candidates FROM ents WHERE source = 'S1'")
+def _(spark, sf):
+    return refine.empty_candidates(_ents(spark, sf).filter("source = 'S1'")).select("source1_entity_id", F.size("candidates").alias("n_candidates"))
+
+
+@_query("experiments", sql.EXPERIMENTS)
+def _(spark, sf):
+    """The retrieval experiments: every set of strategies, with and without refinement."""
+    p = _pipe(spark, sf)
+    return _rounded(diagnostics.run_experiments(p.anchors, p.targets, _truth(spark, sf)))
+
+
+@_query("pipeline_matches")
+def _(spark, sf):
+    p = _pipe(spark, sf)
+    store = features.FrequencyStore(p.anchors)
+    rows = _kept_rows(features.labelled(p.features(store), _truth_long(spark, sf)))
+    return p.match_lists(model.train(rows, "logistic"), store)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import argparse
+import logging
 import sys
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,17 @@ from kindred.plans.pipeline import LinkageConfig, LinkagePipeline
 from kindred.sources import sinks, tables
 
 
+def step_log(name: str) -> Callable[[str], None]:
+    """Logs a step with the seconds since the last one."""
+    log, at = logging.getLogger(f"kindred.{name}"), [time.time()]
+
+    def step(text: str) -> None:
+        log.info("%s (%.1f s)", text, time.time() - at[0])
+        at[0] = time.time()
+
+    return step
+
+
 def read_sources(spark: SparkSession, folder: str, prefix: str = "test", max_queries: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(anchors, targets) of {prefix}_source1.tsv to {prefix}_source3.tsv; at most the first max_queries anchors."""
     one, two, three = (tables.read_lines(spark, f"{folder}/{prefix}_source{i}.tsv") for i in (1, 2, 3))
@@ -23,28 +37,45 @@ def read_sources(spark: SparkSession, folder: str, prefix: str = "test", max_que
     return anchors, tables.numbered_in_order(two.union(three))
 
 
-def train_model(spark: SparkSession, folder: str, model_path: str, kind: str = "MODEL-003", prefix: str = "train", config: LinkageConfig | None = None) -> DataFrame:
-    """Fits frequencies and a model on the training share of the anchors; saves both and returns the threshold sweep over
-    the validation share."""
+def train_model(spark: SparkSession, folder: str, model_path: str, kind: str | Sequence[str] = "MODEL-003", prefix: str = "train", config: LinkageConfig | None = None, refit: bool = True) -> DataFrame:
+    """Fits frequencies and models on the training share of the anchors, and returns the threshold sweep of the best one
+    over the validation share.
+
+    Of several kinds the champion is kept, by macro F0.5. refit: the model that is saved is fitted again on all anchors,
+    with frequencies of all of them, at the threshold found before.
+    """
+    log = step_log("train")
     anchors, targets = read_sources(spark, folder, prefix)
     truth = tables.parse_truth(spark.read.option("sep", "\t").option("header", True).option("quote", "").csv(f"{folder}/{prefix}_ground_truth.tsv"))
     p = LinkagePipeline(anchors, targets, config)
-    part = split.split_by_hash(truth.select(F.col("s1_id").alias("entity_id")))
-    val = part.filter("is_validation").select(F.col("entity_id").alias("s1_id"))
-    store = features.FrequencyStore(p.anchors.join(part.filter("not is_validation"), "entity_id", "left_semi"))
-    store.save(f"{model_path}/frequencies")
-    store = features.FrequencyStore.load(spark, f"{model_path}/frequencies")
-    long = truth.select("s1_id", F.explode("targets").alias("target_id"))
-    rows = features.labelled(p.features(store), long)
-    rows.write.mode("overwrite").parquet(f"{model_path}/rows")
-    rows = spark.read.parquet(f"{model_path}/rows")
-    key = F.col("source1_entity_id") == F.col("s1_id")
-    fitted = model.train(rows.join(val, key, "left_anti"), kind)
-    scored = model.predict(fitted, rows.join(val, key, "left_semi")).withColumns({"s1_id": F.col("source1_entity_id"), "target_id": F.col("target_entity_id")})
-    sweep = metrics.threshold_sweep(scored, truth.join(val, "s1_id", "left_semi"))
-    best = sweep.filter("is_best").first()
-    model.save(fitted, model_path, threshold=best["threshold"] if best else fixed.MATCH_THRESHOLD)
-    return sweep
+    try:
+        part = split.split_by_hash(truth.select(F.col("s1_id").alias("entity_id")))
+        val = part.filter("is_validation").select(F.col("entity_id").alias("s1_id"))
+        long = truth.select("s1_id", F.explode("targets").alias("target_id"))
+
+        def rows_with(known: DataFrame, name: str) -> DataFrame:
+            store = features.FrequencyStore(known)
+            store.save(f"{model_path}/frequencies")
+            rows = features.labelled(p.features(features.FrequencyStore.load(spark, f"{model_path}/frequencies")), long)
+            rows.write.mode("overwrite").parquet(f"{model_path}/{name}")
+            log(f"{name} written")
+            return spark.read.parquet(f"{model_path}/{name}")
+
+        rows = rows_with(p.anchors.join(part.filter("not is_validation"), "entity_id", "left_semi"), "rows")
+        key = F.col("source1_entity_id") == F.col("s1_id")
+        kinds = [kind] if isinstance(kind, str) else list(kind)
+        held = rows.join(val, key, "left_semi")
+        known = truth.join(val, "s1_id", "left_semi")
+        fitted = {k: model.train(rows.join(val, key, "left_anti"), k) for k in kinds}
+        name, threshold, _ = model.champion(fitted, held, known)
+        log(f"champion {name} at {threshold}")
+        scored = model.predict(fitted[name], held).withColumns({"s1_id": F.col("source1_entity_id"), "target_id": F.col("target_entity_id")})
+        sweep = metrics.threshold_sweep(scored, known)
+        final = model.train(rows_with(p.anchors, "rows_all"), name) if refit else fitted[name]
+        model.save(final, model_path, threshold=threshold)
+        return sweep
+    finally:
+        p.close()
 
 
 def run_linkage(spark: SparkSession, folder: str, model_path: str, output: str, prefix: str = "test", max_queries: int | None = None, archive: bool = True) -> dict:
@@ -52,6 +83,7 @@ def run_linkage(spark: SparkSession, folder: str, model_path: str, output: str,
     anchors, targets = read_sources(spark, folder, prefix, max_queries)
     fitted, meta = model.load(model_path)
     store = features.FrequencyStore.load(spark, f"{model_path}/frequencies")
+    log = step_log("link")
     p = LinkagePipeline(anchors, targets, LinkageConfig(match_threshold=meta["threshold"]))
     p.candidates().write.mode("overwrite").parquet(f"{output}/candidates")  # both files come from one set of candidates
     pairs = spark.read.parquet(f"{output}/candidates")
@@ -62,17 +94,19 @@ def run_linkage(spark: SparkSession, folder: str, model_path: str, output: str,
     files = {"candidate_pairs": ("candidate_entity_ids", pairs, sinks.write_candidate_pairs), "matching_results": ("matched_entity_ids", matched, sinks.write_matches)}
     for name, (column, rows, write) in files.items():
         write(per_anchor(p.anchors, rows, column), f"{output}/{name}")
+        log(f"{name} written")
     bad = check_files(spark, output, p.anchors, p.targets)
     if bad:
         raise ValueError("; ".join(bad[:20]))
     out = metrics.candidate_diagnostics(p.anchors.select(F.col("entity_id").alias("s1_id")), pairs).first().asDict()
+    p.close()
     if archive and output.startswith("/"):
         sinks.bundle([f"{output}/{n}" for n in files], f"{output}/results.zip")
     return out
 
 
-def check_files(spark: SparkSession, output: str, source1: DataFrame, targets: DataFrame) -> list[str]:
-    """Messages of what is wrong with the two result files in a folder; none if they are right."""
+def check_files(spark: SparkSession, output: str, source1: DataFrame, targets: DataFrame, limit: int = 1000) -> list[str]:
+    """Messages of what is wrong with the two result files in a folder, at most `limit`; none if they are right."""
     read = lambda n: spark.read.option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(f"{output}/{n}")
     c, m = read("candidate_pairs"), read("matching_results")
     found = validate.check_headers(c, m)
@@ -80,7 +114,7 @@ def check_files(spark: SparkSession, output: str, source1: DataFrame, targets: D
         return found
     # The writers leave one sorted file, which is read by one task here: ids number its lines.
     number = lambda df: df.coalesce(1).withColumn("line", F.monotonically_increasing_id())
-    return [f"{r['rule']}: {r['s1_id']} {r['detail']}" for r in validate.violations(number(c), number(m), source1, targets).limit(20).collect()]
+    return [f"{r['rule']}: {r['s1_id']} {r['detail']}" for r in validate.violations(number(c), number(m), source1, targets).limit(limit).collect()]
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -93,16 +127,18 @@ def main(argv: list[str] | None = None) -> int:
         if name != "check":
             c.add_argument("--model-path", required=True)
         if name == "train":
-            c.add_argument("--kind", default="MODEL-003")
+            c.add_argument("--kind", nargs="+", default=["MODEL-003"], help="several: the champion is kept")
+            c.add_argument("--no-refit", action="store_true", help="keep the model of the training share")
         else:
             c.add_argument("--output", required=True)
         if name == "link":
             c.add_argument("--max-queries", type=int)
             c.add_argument("--skip-zip", action="store_true")
     a = parser.parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     spark = SparkSession.builder.getOrCreate()
     if a.command == "train":
-        train_model(spark, a.folder, a.model_path, a.kind, a.prefix).show(19)
+        train_model(spark, a.folder, a.model_path, a.kind, a.prefix, refit=not a.no_refit).show(19)
         return 0
     if a.command == "link":
         print(run_linkage(spark, a.folder, a.model_path, a.output, a.prefix, a.max_queries, not a.skip_zip))

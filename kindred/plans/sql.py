@@ -36,11 +36,14 @@ def _compact(text: str) -> str:
 
 _TRADE = f"(?is)^(.*?){fixed.TRADE_NAME}(.*)$"
 _VIEWS = f"""
-ents AS (
-  SELECT 'S' || (doc_id % 3 + 1)::VARCHAR || '-' || doc_id::VARCHAR AS entity_id, 'S' || (doc_id % 3 + 1)::VARCHAR AS source,
-         regexp_extract(text, '^[^.\\n]{{1,60}}', 0) AS business_name,
-         concat_ws(' ', n_chars::VARCHAR, substr(text, 61, 80)) AS business_address, lang AS country, doc_id AS seq
-  FROM documents
+source_lines AS (
+  SELECT 'S' || (doc_id % 3 + 1)::VARCHAR AS source, doc_id, lang, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place FROM documents
+), source_records AS (
+  SELECT source, line, min_by(lang, [doc_id, place]) AS lang, list_min(list(doc_id * 1048576 + place)) AS seq FROM source_lines WHERE trim(line) <> '' GROUP BY source, line
+), ents AS (
+  SELECT source || '-' || seq::VARCHAR AS entity_id, source, regexp_extract(line, '^[^.]+', 0) AS business_name,
+         length(line)::VARCHAR || ' ' || substr(line, length(regexp_extract(line, '^[^.]+', 0)) + 1) AS business_address, lang AS country, seq
+  FROM source_records
 ), folded AS (
   SELECT *, {_FOLD.format("business_name")} AS name_fold, {_FOLD.format("business_address")} AS addr_fold FROM ents
 ), step1 AS (
@@ -121,7 +124,7 @@ ents AS (
 ), freq_c AS (SELECT name_compact AS k, count(*)::DOUBLE AS n FROM norm WHERE source = 'S1' AND name_compact <> '' GROUP BY 1
 ), freq_k AS (SELECT country || '|' || name_compact AS k, count(*)::DOUBLE AS n FROM norm WHERE source = 'S1' AND name_compact <> '' AND country <> '' GROUP BY 1
 ), truth_long AS (
-  SELECT a.entity_id AS s1_id, b.entity_id AS target_id FROM ents a JOIN ents b ON a.source = 'S1' AND b.source <> 'S1' AND lower(a.business_name) = lower(b.business_name)
+  SELECT a.entity_id AS s1_id, b.entity_id AS target_id FROM ents a JOIN ents b ON a.source = 'S1' AND b.source <> 'S1' AND lower(a.business_name) = lower(b.business_name) AND lower(a.business_address) = lower(b.business_address)
 ), truth AS (
   SELECT a.entity_id AS s1_id, list_sort(list_filter(list(target_id), lambda x: x IS NOT NULL)) AS targets
   FROM ents a LEFT JOIN truth_long ON a.entity_id = s1_id WHERE a.source = 'S1' GROUP BY a.entity_id
@@ -268,7 +271,7 @@ SELECT q.entity_id AS s1_id, t.entity_id AS target_id, array_to_string(list_sort
 FROM qkeys q JOIN small USING (strategy, key) JOIN tkeys t USING (strategy, key) GROUP BY 1, 2"""
 
 
-URL_ORACLE = f"""SELECT page_id, regexp_replace(regexp_replace(lower(regexp_extract(url, '^[^?#]*?://[^/?#]*', 0)), '{fixed.URL_PREFIX}', '', 'i'), '{fixed.DOMAIN_SUFFIX}', '', 'i') AS value FROM pages"""
+URL_ORACLE = f"""SELECT page_id, regexp_replace(regexp_replace(lower(url), '{fixed.URL_PREFIX}', '', 'i'), '{fixed.DOMAIN_SUFFIX}', '', 'i') AS value FROM pages"""
 WIDE = """SELECT e.entity_id AS source1_entity_id, coalesce(array_to_string(list_sort(list_filter(list(target_id), lambda x: x IS NOT NULL)), ','), '') AS candidate_entity_ids
 FROM ents e LEFT JOIN cands ON e.entity_id = s1_id WHERE source = 'S1' GROUP BY e.entity_id"""
 K_SENSITIVITY = """WITH ks AS (SELECT unnest([1, 2, 50, 75, 100, 150]) AS k), marked AS (
@@ -298,7 +301,7 @@ BLOCKING = """SELECT round(sum(captured) / sum(links), 9) AS candidate_recall_ov
  round(coalesce(avg(n_candidates) FILTER (links = 0), 0), 9) AS singleton_candidate_avg FROM coverage"""
 REDUCTION = """SELECT n * 10320219 AS total_theoretical_pairs, m AS total_final_candidate_pairs, round(n * 10320219 / m::DOUBLE, 9) AS reduction_ratio, round(100e0 * (1 - m / (n * 10320219)::DOUBLE), 9) AS reduction_percentage
 FROM (SELECT count(*) AS n FROM ents WHERE source = 'S1'), (SELECT count(*) AS m FROM cands)"""
-FALSE_NEGATIVES = """WITH missed AS (SELECT * FROM truth_long WHERE NOT EXISTS (SELECT 1 FROM matches m WHERE m.strategy = 'address_exact_combo' AND m.s1_id = truth_long.s1_id AND m.target_id = truth_long.target_id))
+FALSE_NEGATIVES = """WITH missed AS (SELECT * FROM truth_long WHERE NOT EXISTS (SELECT 1 FROM matches m WHERE m.strategy = 'address_salient_combo' AND m.s1_id = truth_long.s1_id AND m.target_id = truth_long.target_id))
 SELECT s1_id, target_id, a.business_name AS s1_name, b.business_name AS target_name, a.business_address AS s1_address, b.business_address AS target_address, upper(trim(a.country)) AS country,
  CASE WHEN upper(trim(a.country)) <> upper(trim(b.country)) AND a.country <> '' AND b.country <> '' THEN 'country_mismatch' WHEN trim(b.business_address) = '' THEN 'missing_target_address'
       WHEN regexp_matches(b.business_name, '[^\\x00-\\x7f]') AND NOT regexp_matches(a.business_name, '[^\\x00-\\x7f]') THEN 'transliteration_script_difference'
@@ -370,9 +373,9 @@ SELECT source, col AS "column", count(*) AS n_rows, count(*) FILTER (value = '')
 GT_SUMMARY = """SELECT count(*) FILTER (len(targets) = 0) AS zero, count(*) FILTER (len(targets) = 1) AS single, count(*) FILTER (len(targets) > 1) AS multi, sum(len(targets))::BIGINT AS links,
  (SELECT count(DISTINCT target_id) FROM truth_long) AS unique_targets, (SELECT count(*) FROM (SELECT target_id FROM truth_long GROUP BY 1 HAVING count(DISTINCT s1_id) > 1)) AS multi_anchor_targets FROM truth"""
 VIOLATIONS = """WITH s AS (SELECT entity_id AS s1, seq FROM ents WHERE source = 'S1'
-), cl AS (SELECT s1, CASE s1 WHEN 'S1-0' THEN 1 WHEN 'S1-3' THEN 0 ELSE seq // 3 END AS line, list_filter(list(DISTINCT target_id), lambda x: x IS NOT NULL) AS items FROM s LEFT JOIN (SELECT * FROM matches WHERE strategy = 'exact_name') ON s1 = s1_id GROUP BY s1, seq
-), ml AS (SELECT s1, CASE s1 WHEN 'S1-0' THEN 1 WHEN 'S1-3' THEN 0 ELSE seq // 3 END AS line, list_filter(list(DISTINCT target_id), lambda x: x IS NOT NULL) AS items FROM s LEFT JOIN truth_long ON s1 = s1_id GROUP BY s1, seq
-), pool AS (SELECT entity_id FROM ents WHERE source <> 'S1' AND seq % 7 <> 0
+), cl AS (SELECT s1, CASE s1 WHEN 'S1-0' THEN 1 WHEN 'S1-1' THEN 0 ELSE seq END AS line, list_concat(list_filter(list(DISTINCT target_id), lambda x: x IS NOT NULL), CASE WHEN s1 = 'S1-0' THEN ['S2-unknown'] ELSE [] END) AS items FROM s LEFT JOIN (SELECT * FROM matches WHERE strategy = 'exact_name') ON s1 = s1_id GROUP BY s1, seq
+), ml AS (SELECT s1, CASE s1 WHEN 'S1-0' THEN 1 WHEN 'S1-1' THEN 0 ELSE seq END AS line, list_concat(list_filter(list(DISTINCT target_id), lambda x: x IS NOT NULL), CASE WHEN s1 = 'S1-0' THEN ['S2-unknown'] ELSE [] END) AS items FROM s LEFT JOIN truth_long ON s1 = s1_id GROUP BY s1, seq
+), pool AS (SELECT entity_id FROM ents WHERE source <> 'S1'
 ), files AS (SELECT 'candidates' AS f, * FROM cl UNION ALL SELECT 'matches', * FROM ml
 ), items AS (SELECT f, s1, unnest(items) AS item FROM files)
 SELECT f || '_not_sorted' AS rule, a.s1 AS s1_id, a.line::VARCHAR AS detail FROM files a JOIN (SELECT f, line + 1 AS line, s1 AS above FROM files) b USING (f, line) WHERE a.s1 < above
@@ -385,3 +388,41 @@ SELECT round(avg(n), 9) AS mean, round(quantile_cont(n, 0.5), 9) AS median, roun
     + [f"(SELECT round(quantile_cont(score, {p / 100}), 9) FROM s) AS score_p{p:02d}" for p in (1, 5, 25, 50, 75, 95, 99)]
     + [f"(SELECT count(*) FILTER (score >= {t}e0) FROM s) AS at_least_{round(100 * t)}" for t in (0.15, 0.25, 0.5, 0.7, 0.9)]
 ) + " FROM per"
+
+AT_THRESHOLD = _CURVE + """, curve AS (
+  SELECT CASE WHEN any_value(ap) > 0 AND any_value(an) > 0 THEN sum(pos * (an - cn + neg / 2)) / any_value(ap * an) ELSE 0.5 END AS roc_auc,
+         coalesce(sum(CASE WHEN ap > 0 THEN pos / ap * cp / (cp + cn) END), 0) AS pr_auc FROM s
+), chosen AS (SELECT s1_id, target_id FROM labelled WHERE prob >= 0.7e0
+), counts AS (
+  SELECT t.s1_id, len(targets) AS n, count(c.target_id) AS m, count(c.target_id) FILTER (list_contains(targets, c.target_id)) AS tp FROM truth t LEFT JOIN chosen c USING (s1_id) GROUP BY ALL
+), each AS (
+  SELECT *, CASE WHEN n = 0 AND m = 0 THEN 1e0 WHEN n = 0 OR m = 0 THEN 0e0 ELSE tp::DOUBLE / m END AS p, CASE WHEN n = 0 AND m = 0 THEN 1e0 WHEN n = 0 OR m = 0 THEN 0e0 ELSE tp::DOUBLE / n END AS r FROM counts
+), scores AS (SELECT *, CASE WHEN 0.25e0 * p + r > 0 THEN 1.25e0 * p * r / (0.25e0 * p + r) ELSE 0e0 END AS f FROM each
+), pair AS (SELECT count(*) FILTER (prob >= 0.7e0 AND label = 1) AS tp, count(*) FILTER (prob >= 0.7e0) AS chosen, count(*) FILTER (label = 1) AS pos FROM labelled)
+SELECT 0.7e0 AS threshold, round(avg(f), 4) AS macro_f05, round(avg(p), 4) AS macro_precision, round(avg(r), 4) AS macro_recall,
+ (SELECT round(CASE WHEN chosen = 0 THEN 0 ELSE tp / chosen END, 4) FROM pair) AS pairwise_precision, (SELECT round(CASE WHEN pos = 0 THEN 0 ELSE tp / pos END, 4) FROM pair) AS pairwise_recall,
+ (SELECT round(roc_auc, 4) FROM curve) AS roc_auc, (SELECT round(pr_auc, 4) FROM curve) AS pr_auc, round(coalesce(avg(f) FILTER (n = 1), 0), 4) AS singleton_f05,
+ round(coalesce(avg(f) FILTER (n > 1), 0), 4) AS multi_match_f05, round(coalesce(avg((m = 0)::INT) FILTER (n = 0), 0), 4) AS zero_match_accuracy, (SELECT chosen FROM pair) AS predicted_match_count FROM scores"""
+_NAMES = fixed.FEATURE_GROUPS["name"]
+CORRELATED = " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM labelled HAVING stddev_pop({a}) > 0 AND stddev_pop({b}) > 0 AND abs(corr({a}, {b})) >= 0.9" for i, a in enumerate(_NAMES) for b in _NAMES[i + 1 :]
+)
+_SETS = {
+    "EXP-001": (["exact_name"], None, None), "EXP-002": (["exact_name", "name_address_combo", "address_exact_combo"], None, None), "EXP-003": (fixed.DEFAULT_STRATEGIES, None, None),
+    "EXP-004": (fixed.DEFAULT_STRATEGIES, 0.15, 50), "EXP-005": (fixed.DEFAULT_STRATEGIES, 0.25, 30), "EXP-010": ([*fixed.DEFAULT_STRATEGIES, "name_leet_compact"], 0.15, 50),
+    "EXP-011": ([*fixed.DEFAULT_STRATEGIES, "name_dba_alias"], 0.15, 50), "EXP-012": ([*fixed.DEFAULT_STRATEGIES, "address_salient_combo"], 0.15, 50), "EXP-013": (fixed.STRATEGIES, 0.15, 50),
+}
+EXPERIMENTS = """WITH of_exp(experiment, allowed, least, k) AS (VALUES """ + ", ".join(f"('{n}', {_list(s)}, {'NULL::DOUBLE' if t is None else f'{t}e0'}, {'NULL::BIGINT' if k is None else k})" for n, (s, t, k) in _SETS.items()) + """
+), met AS (
+  SELECT experiment, least, k, s1_id, target_id, list(DISTINCT strategy) AS own, min([ord, key_ord, target_seq]) AS first FROM of_exp JOIN matches ON list_contains(allowed, strategy) GROUP BY ALL
+), judged AS (
+  SELECT m.*, CASE WHEN q_country <> '' AND t_country <> '' AND q_country <> t_country THEN -1e0
+                   WHEN list_has_any(own, """ + _list(fixed.BYPASS_STRATEGIES) + """) THEN 1e0 ELSE 0.35e0 * j3 + 0.30e0 * jt + 0.20e0 * cont + 0.10e0 * ja + 0.05e0 * num END AS own_score
+  FROM met m JOIN parts p ON p.s1_id = m.s1_id AND p.target_id = m.target_id
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY experiment, s1_id ORDER BY own_score DESC, first) AS place FROM judged
+  WHERE least IS NULL OR (own_score >= 0 AND (list_has_any(own, ['exact_name', 'sorted_name_tokens']) OR own_score >= least))
+), counted AS (
+  SELECT experiment, count(*) AS n_pairs, count(l.s1_id) AS captured FROM placed p LEFT JOIN truth_long l ON l.s1_id = p.s1_id AND l.target_id = p.target_id WHERE k IS NULL OR place <= k GROUP BY experiment)
+SELECT experiment, n_pairs, (SELECT count(*) FROM truth_long) AS links, captured, round(captured::DOUBLE / (SELECT count(*) FROM truth_long), 9) AS recall,
+ round(n_pairs::DOUBLE / (SELECT count(*) FROM truth), 9) AS mean_candidates FROM counted"""

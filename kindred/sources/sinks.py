@@ -38,10 +38,11 @@ def write_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).csv(path)
 
 
-def markdown(rows: DataFrame, limit: int = 1000) -> str:
-    """A report table of at most `limit` rows, in order of the first column."""
+def markdown(rows: DataFrame, limit: int | None = None) -> str:
+    """A report table in order of the first column, whole unless `limit` says otherwise. Reports are small by nature."""
     cells = lambda xs: "| " + " | ".join("" if x is None else str(x).replace("|", "\\|") for x in xs) + " |"
-    body = [cells(r) for r in rows.orderBy(rows.columns[0]).limit(limit).collect()]
+    ordered = rows.orderBy(rows.columns[0])
+    body = [cells(r) for r in (ordered if limit is None else ordered.limit(limit)).collect()]
     return "\n".join([cells(rows.columns), cells(["-"] * len(rows.columns)), *body]) + "\n"
 
 

@@ -77,21 +77,27 @@ def parse_truth(lines: DataFrame, s1_ids: DataFrame | None = None, target_ids: D
     return lines.select(F.col("source1_entity_id").alias("s1_id"), F.array_sort(F.array_distinct(items)).alias("targets"))
 
 
-def document_entities(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    """Documents as entities of three sources: the start of a text is the name, what follows the address.
+#: Lines of one document that ids tell apart.
+LINES = 1 << 20
 
-    The view that the SQL fixes takes at most 60 characters as the name and characters 61 to 140 as the address. whole:
-    the first sentence or line is the name and all the rest the address, so that every character is in one of them.
+
+def document_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document as a record of one of three sources; a source has each line once.
+
+    The first sentence of a line is the name; the line's length, in the place of a house number, and all the rest are the
+    address. So every character of the texts is in a record. The first place of a line gives its id and country.
     """
-    name = F.regexp_extract("text", r"^[^.\n]+" if whole else r"^[^.\n]{1,60}", 0)
-    address = F.substring("text", F.length(name) + 1, F.length("text")) if whole else F.substring("text", 61, 80)
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
     source = F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"))
-    return d.select(
-        F.concat_ws("-", source, F.col("doc_id").cast("string")).alias("entity_id"),
-        source.alias("source"),
+    lines = d.select(source.alias("source"), "doc_id", "lang", F.posexplode(F.split("text", "\n", -1)).alias("place", "line")).filter(F.trim("line") != "")
+    once = lines.groupBy("source", "line").agg(F.min(F.struct("doc_id", "place", "lang")).alias("f"))
+    seq = F.col("f.doc_id") * LINES + F.col("f.place")
+    name = F.regexp_extract("line", r"^[^.]+", 0)
+    return once.select(
+        F.concat_ws("-", "source", seq.cast("string")).alias("entity_id"),
+        "source",
         name.alias("business_name"),
-        F.concat_ws(" ", F.col("n_chars").cast("string"), address).alias("business_address"),
-        F.col("lang").alias("country"),
-        F.col("doc_id").alias("seq"),
+        F.concat_ws(" ", F.length("line").cast("string"), F.substring("line", F.length(name) + 1, F.length("line"))).alias("business_address"),
+        F.col("f.lang").alias("country"),
+        seq.alias("seq"),
     )

@@ -1 +1,5 @@
-"""Kindred subpackage."""
+"""Streams."""
+
+from kindred.streaming.anchors import link_stream
+
+__all__ = ["link_stream"]

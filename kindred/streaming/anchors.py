@@ -12,8 +12,13 @@ def link_stream(anchors: DataFrame, targets: DataFrame, path: str, checkpoint: s
     """Writes the candidates of each micro-batch of anchors. An anchor's best K depend on no other anchor, so no state
     is kept; a batch that is repeated overwrites its own folder."""
 
+    known = LinkagePipeline(targets.limit(0), targets, config)  # targets are normalised once for all batches
+
     def write(batch: DataFrame, number: int) -> None:
-        found = LinkagePipeline(batch, targets, config).candidates()
-        found.select("s1_id", "target_id", "strategies", "score", "rank").write.mode("overwrite").parquet(f"{path}/batch={number}")
+        p = known.of_anchors(batch)
+        try:
+            p.candidates().select("s1_id", "target_id", "strategies", "score", "rank").write.mode("overwrite").parquet(f"{path}/batch={number}")
+        finally:
+            p.anchors.unpersist()
 
     return anchors.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,14 +1,15 @@
-"""The whole_ queries read every character of a document."""
+"""Queries over entities read every character of a document."""
 
 import pytest
 
-from kindred.plans.registry import ORACLE_SQL, QUERIES
+from kindred.functions.text import common_prefix, common_suffix, grams
+from kindred.plans.registry import QUERIES
 from kindred.sources.tables import document_entities
 
 LONG = "A name of more than sixty characters that goes on until its first full stop comes. "
 ROWS = [
-    (0, LONG + "x " * 100 + "lastword 77", "en"), (1, LONG + "x " * 100 + "lastword 77", "en"), (2, LONG + "y " * 100 + "otherword 88", "en"),
-    (3, "\nno name", "en"), (4, "", "en"), (5, None, "en"),
+    (0, LONG + "x " * 100 + "lastword 77\n\nsecond line. of it", "en"), (1, LONG + "x " * 100 + "lastword 77", "en"), (2, LONG + "y " * 100 + "otherword 88", "en"),
+    (3, "\nno name\nno name", "en"), (4, "", "en"), (5, None, "en"), (6, "no name", "fr"),
 ]
 
 
@@ -20,26 +21,35 @@ def folder(spark, tmp_path_factory):
     return path
 
 
-def test_name_and_address_are_the_whole_text(spark, folder):
-    got = {r["seq"]: r for r in document_entities(spark, folder, whole=True).collect()}
-    for i, text, _ in ROWS[:5]:
-        assert got[i]["business_name"] + got[i]["business_address"].partition(" ")[2] == text
-    assert got[0]["business_name"] == LONG[:-2]
+def test_every_line_is_a_record_once_a_source(spark, folder):
+    got = [r.asDict() for r in document_entities(spark, folder).collect()]
+    want = {}
+    for i, t, _ in ROWS:
+        for place, line in enumerate((t or "").split("\n")):
+            if line.strip():
+                want.setdefault((f"S{i % 3 + 1}", line), i * 2**20 + place)
+    assert {(r["source"], r["business_name"] + r["business_address"].partition(" ")[2]): r["seq"] for r in got} == want and len(got) == len(want)
+    assert all(r["entity_id"] == f"{r['source']}-{r['seq']}" for r in got)
 
 
-def test_words_beyond_the_prefix_reach_the_queries(spark, folder):
-    words = {r["entity_id"]: r["value"] for r in QUERIES["whole_norm_address"](spark, folder).collect()}
-    assert words["S1-0"].endswith("lastword 77") and words["S3-2"].endswith("otherword 88")
-    assert "lastword" not in {r["entity_id"]: r["value"] for r in QUERIES["norm_address"](spark, folder).collect()}["S1-0"]
-    alike = {r["target_entity_id"]: r["addr_token_jaccard"] for r in QUERIES["whole_feat_all_labelled"](spark, folder).collect() if r["source1_entity_id"] == "S1-0"}
-    assert alike["S2-1"] == 1.0 and alike["S3-2"] < 0.5
-
-
-def test_every_query_over_entities_has_one_over_whole_texts():
-    assert {f"whole_{n}" for n in QUERIES if not n.startswith("whole_")} - set(QUERIES) == {"whole_id_overlap"}
-    assert not any(n.startswith("whole_") for n in ORACLE_SQL)
+def test_words_at_the_end_reach_the_queries(spark, folder):
+    words = {r["entity_id"]: r["value"] for r in QUERIES["norm_address"](spark, folder).collect()}
+    assert words["S1-0"].endswith("lastword 77") and words[f"S3-{2 * 2**20}"].endswith("otherword 88")
+    alike = {r["target_entity_id"]: r["addr_token_jaccard"] for r in QUERIES["feat_all_labelled"](spark, folder).collect() if r["source1_entity_id"] == "S1-0"}
+    assert alike[f"S2-{2**20}"] == 1.0 and alike[f"S3-{2 * 2**20}"] < 0.5
 
 
 def test_planted_faults_are_found(spark, folder):
-    got = {(r["rule"], r["detail"]) for r in QUERIES["whole_validate_violations"](spark, folder).collect()}
+    got = {(r["rule"], r["detail"]) for r in QUERIES["validate_violations"](spark, folder).collect()}
     assert {("candidates_unknown_target", "S2-unknown"), ("matches_unknown_target", "S2-unknown")} <= got
+
+
+def test_grams_and_common_parts_of_any_characters(spark):
+    rows = [("", "a"), ("ab", "abc"), ("🙂a🙂b", "🙂a🙂c"), ("abcabc", "xbcabc"), ("x" * 20_000, "x" * 19_999 + "y"), ("é", "é")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    for n in (2, 3, 4):
+        for (a, _), r in zip(rows, df.select(grams(df.a, n).alias("g")).collect(), strict=True):
+            assert set(r["g"]) == ({a[i : i + n] for i in range(len(a) - n + 1)} if len(a) >= n else {a} - {""}) and len(r["g"]) == len(set(r["g"]))
+    same = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    got = df.select(common_prefix(df.a, df.b), common_suffix(df.a, df.b)).collect()
+    assert [tuple(r) for r in got] == [(same(a, b), same(a[::-1], b[::-1])) for a, b in rows]
