@@ -1,16 +1,16 @@
 """URL filter: sorted digest array.
 
-Rules (host, path, verdict) become one array of sorted 64-bit xxhash keys with their full strings beside it. The
-file is memory-mapped on each executor; the keys of all host suffixes and path prefixes of a batch of urls are probed
-with one vectorised binary search, and a hit counts only if the stored string equals the probed one.
+Rules (host, path, verdict) become one array of sorted 64-bit xxhash keys with their full strings beside it, and their
+hosts another. The file is memory-mapped on each executor; the keys of a batch's host suffixes, and then of the path
+prefixes under hosts that rules name, are probed with one vectorised binary search each, and a hit counts only if the
+stored string equals the probed one.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
@@ -19,6 +19,8 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kindred.llm.common import column_name, fresh_path
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rule files over this size are not sent to executors whole.
 FILE_LIMIT = 256 << 20
@@ -63,67 +65,87 @@ def digest(text: str) -> int:
 
 
 class DigestArray:
-    """The file: number of rules, path lengths, sorted keys, string ends, verdicts, strings. Opened with mmap."""
+    """Two sorted arrays of 64-bit keys in one file, opened with mmap: of the rules, and of the rules' hosts.
+
+    Beside each key stands the end of its string; beside a host's key also which lengths the paths of its rules have.
+    """
 
     @staticmethod
-    def write(path: str, rules: list[Rule]) -> None:
+    def write(file: BinaryIO, rules: list[Rule]) -> None:
         """Rules with the same (host, path) count once; block wins over allow."""
         chosen: dict[tuple[str, str], Rule] = {}
+        lengths: dict[str, set[int]] = {}
         for r in rules:
+            lengths.setdefault(r.host, set()).add(len(r.path))
             if (r.host, r.path) not in chosen or r.verdict == "block":
                 chosen[r.host, r.path] = r
         rows = sorted((digest(f"{r.host}\0{r.path}"), f"{r.host}\0{r.path}".encode(), r.verdict) for r in chosen.values())
-        keys = np.array([x[0] for x in rows], dtype=np.uint64)
-        ends = np.cumsum([0, *(len(x[1]) for x in rows)]).astype(np.int64)
-        lengths = np.array(sorted({len(r.path) for r in chosen.values()}), dtype=np.int64)
-        with open(path, "wb") as f:
-            f.write(np.array([len(rows), len(lengths)], dtype=np.int64).tobytes())
-            f.write(lengths.tobytes() + keys.tobytes() + ends.tobytes())
-            f.write(bytes(x[2] == "block" for x in rows))
-            f.write(b"".join(x[1] for x in rows))
+        hosts = sorted((digest(h), h.encode(), sorted(n)) for h, n in lengths.items())
+        ends = lambda xs: np.cumsum([0, *xs]).astype(np.int64).tobytes()
+        keys = lambda xs: np.array([x[0] for x in xs], dtype=np.uint64).tobytes()
+        file.write(np.array([len(rows), len(hosts), sum(len(x[1]) for x in rows), sum(len(x[1]) for x in hosts), sum(len(x[2]) for x in hosts)], dtype=np.int64).tobytes())
+        file.write(keys(rows) + ends(len(x[1]) for x in rows) + keys(hosts) + ends(len(x[1]) for x in hosts) + ends(len(x[2]) for x in hosts))
+        file.write(np.array([n for x in hosts for n in x[2]], dtype=np.int64).tobytes())
+        file.write(bytes(x[2] == "block" for x in rows) + b"".join(x[1] for x in rows) + b"".join(x[1] for x in hosts))
 
     def __init__(self, path: str) -> None:
         raw = np.memmap(path, dtype=np.uint8, mode="r")
-        n, k = (int(x) for x in raw[:16].view(np.int64))
-        at = 16
-        self.lengths = raw[at : at + 8 * k].view(np.int64).tolist()
-        at += 8 * k
-        self.keys = raw[at : at + 8 * n].view(np.uint64)
-        at += 8 * n
-        self.ends = raw[at : at + 8 * (n + 1)].view(np.int64)
-        at += 8 * (n + 1)
-        self.blocks = raw[at : at + n]
-        self.strings = raw[at + n :]
-
-    def probe(self, texts: list[str]) -> np.ndarray:
-        """The place of each text in the array, or -1."""
+        n, m, rule_bytes, host_bytes, k = (int(x) for x in raw[:40].view(np.int64))
+        at = 40
+
+        def take(count: int, kind: type) -> np.ndarray:
+            nonlocal at
+            out = raw[at : at + count * np.dtype(kind).itemsize].view(kind)
+            at += count * np.dtype(kind).itemsize
+            return out
+
+        self.keys, self.ends = take(n, np.uint64), take(n + 1, np.int64)
+        self.host_keys, self.host_ends, self.length_ends = take(m, np.uint64), take(m + 1, np.int64), take(m + 1, np.int64)
+        self.lengths, self.blocks = take(k, np.int64), take(n, np.uint8)
+        self.strings, self.hosts = take(rule_bytes, np.uint8), take(host_bytes, np.uint8)
+
+    @staticmethod
+    def probe(texts: list[str], keys: np.ndarray, ends: np.ndarray, strings: np.ndarray) -> np.ndarray:
+        """The place of each text in an array, or -1; a key counts only with the stored string."""
         out = np.full(len(texts), -1, dtype=np.int64)
-        if not len(self.keys) or not texts:
+        if not len(keys) or not texts:
             return out
         wanted = np.fromiter(map(digest, texts), dtype=np.uint64, count=len(texts))
-        at = np.searchsorted(self.keys, wanted)
-        for i in np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] == wanted):
+        at = np.searchsorted(keys, wanted)
+        for i in np.flatnonzero(keys[np.minimum(at, len(keys) - 1)] == wanted):
             text, k = texts[i].encode("utf-8", "surrogatepass"), int(at[i])
-            while k < len(self.keys) and self.keys[k] == wanted[i]:  # two rules may share a key
-                if self.strings[self.ends[k] : self.ends[k + 1]].tobytes() == text:
+            while k < len(keys) and keys[k] == wanted[i]:  # two strings may share a key
+                if strings[ends[k] : ends[k + 1]].tobytes() == text:
                     out[i] = k
                     break
                 k += 1
         return out
 
     def judge(self, hosts: list[str], paths: list[str]) -> tuple[list[str | None], list[str | None]]:
-        """Per url the longest fitting rule and its verdict; null where none fits."""
+        """Per url the longest fitting rule and its verdict; null where none fits.
+
+        The suffixes of the distinct hosts are probed first; paths are cut only for hosts that rules name, and only to
+        the lengths that those rules have.
+        """
+        suffixes: list[str] = []
+        of: dict[str, range] = {}
+        for host in dict.fromkeys(hosts):
+            labels, start = host.split("."), len(suffixes)
+            suffixes += [".".join(labels[k:]) for k in range(len(labels))]
+            of[host] = range(start, len(suffixes))
+        known = self.probe(suffixes, self.host_keys, self.host_ends, self.hosts).tolist()
+        named = {host: [i for i in r if known[i] >= 0] for host, r in of.items()}
         texts, owner = [], []
         for i, (host, path) in enumerate(zip(hosts, paths, strict=True)):
-            labels = host.split(".")
-            suffixes = [".".join(labels[k:]) for k in range(len(labels))]
-            for n in self.lengths:
-                if n > len(path):
-                    break
-                texts += [f"{s}\0{path[:n]}" for s in suffixes]
-                owner += [i] * len(suffixes)
+            for j in named[host]:
+                at = known[j]
+                for n in self.lengths[self.length_ends[at] : self.length_ends[at + 1]].tolist():
+                    if n > len(path):
+                        break
+                    texts.append(f"{suffixes[j]}\0{path[:n]}")
+                    owner.append(i)
         best: dict[int, tuple[tuple[int, int, str], int]] = {}
-        found = self.probe(texts)
+        found = self.probe(texts, self.keys, self.ends, self.strings)
         for j in np.flatnonzero(found >= 0):
             host, _, path = texts[j].partition("\0")
             rank = (len(host) + len(path), len(host), host)
@@ -161,8 +183,9 @@ def judge_urls(urls: DataFrame, rules: list[Rule], url: str = "url", default: st
             r, v = array.judge(hosts.tolist(), paths.tolist())
             yield pd.DataFrame({"rule": r, "verdict": v}, dtype="object")
 
-    out = parsed.withColumn("__judged", judged("host", "path"))
-    return out.withColumns({"rule": F.col("__judged.rule"), "verdict": F.coalesce("__judged.verdict", F.lit(default))}).drop("__judged")
+    found = column_name(parsed, "judged")
+    out = parsed.withColumn(found, judged("host", "path"))
+    return out.withColumns({"rule": F.col(found)["rule"], "verdict": F.coalesce(F.col(found)["verdict"], F.lit(default))}).drop(found)
 
 
 def _joined(parsed: DataFrame, rules: list[Rule], default: str) -> DataFrame:
@@ -176,20 +199,23 @@ def _joined(parsed: DataFrame, rules: list[Rule], default: str) -> DataFrame:
     keys = parsed.select("host", "path").distinct().withColumn("rule_host", F.explode(suffixes)).withColumn("n", F.explode(lengths)).filter(F.col("n") <= F.length("path"))
     keys = keys.withColumn("rule_path", F.substr("path", F.lit(1), F.col("n"))).withColumn("digest", F.xxhash64("rule_host", "rule_path"))
     rank = F.struct(F.length("rule_host") + F.length("rule_path"), F.length("rule_host"), "rule_host")
-    best = keys.join(listed, ["digest", "rule_host", "rule_path"]).groupBy("host", "path").agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), rank).alias("__judged"))
+    found = column_name(parsed, "judged")
+    best = keys.join(listed, ["digest", "rule_host", "rule_path"]).groupBy("host", "path").agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), rank).alias(found))
     out = parsed.join(best, ["host", "path"], "left")
-    return out.withColumns({"rule": F.col("__judged.rule"), "verdict": F.coalesce("__judged.verdict", F.lit(default))}).drop("__judged")
+    return out.withColumns({"rule": F.col(found)["rule"], "verdict": F.coalesce(F.col(found)["verdict"], F.lit(default))}).drop(found)
 
 
 def _ship(spark: SparkSession, rules: list[Rule]) -> str:
-    """Spark fetches files that are added to it to each executor, and does so anew when one is lost."""
-    import tempfile
-
-    name = f"rules-{uuid.uuid4().hex}.bin"
-    path = os.path.join(tempfile.mkdtemp(), name)
-    DigestArray.write(path, rules)
+    """Writes the file to the shared folder, from where Spark fetches it to each executor, anew when one is lost."""
+    from pyarrow import fs
+
+    path = f"{fresh_path(spark, 'rules')}.bin"
+    store, place = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    store.create_dir(place.rpartition("/")[0], recursive=True)
+    with store.open_output_stream(place, compression=None) as f:
+        DigestArray.write(f, rules)
     spark.sparkContext.addFile(path)
-    return name
+    return path.rpartition("/")[2]
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

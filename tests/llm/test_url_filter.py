@@ -41,11 +41,21 @@ def test_against_all_rules(spark):
 def test_collisions_are_confirmed(tmp_path, monkeypatch):
     monkeypatch.setattr(url_filter, "digest", lambda text: 7)
     rules = [Rule("a", "/x", "block"), Rule("b", "/y", "allow"), Rule("c", "", "block")]
-    DigestArray.write(str(tmp_path / "f"), rules)
+    with open(tmp_path / "f", "wb") as f:
+        DigestArray.write(f, rules)
     array = DigestArray(str(tmp_path / "f"))
     assert array.judge(["a", "b", "zz", "c"], ["/x", "/y", "/x", "/q"]) == (["a/x", "b/y", None, "c"], ["block", "allow", None, "block"])
 
 
+def test_very_long_and_repeated_urls(spark):
+    long = "http://a.example.com/en/7" + "x" * 200_000
+    assert judged(spark, [long, long, "http://" + "a." * 3000 + "org/es/"]) [0][2:] == ("example.com/en/7", "allow")
+    df = spark.createDataFrame([(1, "http://a.org/es/1", 5, "z"), (1, "http://a.org/es/1", 5, "z"), (None, None, 5, "z")], "page_id long, url string, judged int, host string")
+    out = judge_urls(df, [Rule(*r) for r in RULES])
+    assert out.columns == ["page_id", "url", "judged", "host", "path", "rule", "verdict"]
+    assert sorted(map(tuple, out.select("page_id", "host", "verdict").collect()), key=str) == [(1, "a.org", "block")] * 2 + [(None, "", "allow")]
+
+
 def test_empty(spark):
     assert judged(spark, []) == []
     assert judged(spark, ["http://a/b"], []) == [("a", "/b", None, "allow")]
