@@ -250,8 +250,13 @@ class SecretFilter:
         if docs is not None:
             t = F.col(text)
             h = F.xxhash64(t)  # says which texts, and where in a text the piece begins
-            some = docs.filter(F.length(t) > 0).select(h.alias("h"), F.substring(t, F.pmod(h, F.length(t)).cast("int") + 1, F.lit(100 * AROUND)).alias("t"))
-            found = [r["t"] for r in some.orderBy("h", "t").limit(contexts).collect()]
+            known = docs.filter(F.length(t) > 0)
+            # Tasks send a few hashes first, and pieces of the chosen texts alone after that.
+            least = [r["h"] for r in known.select(h.alias("h")).distinct().orderBy("h").limit(contexts).collect()]
+            if least:
+                piece = F.substring(t, F.pmod(h, F.length(t)).cast("int") + 1, F.lit(10 * AROUND))
+                some = known.filter(h <= least[-1]).groupBy(h.alias("h")).agg(F.min(piece).alias("t"))
+                found = [r["t"] for r in some.orderBy("h").collect()]  # at most `contexts` rows
         return SecretFilter.fit(spark, spark.createDataFrame(labelled_findings(contexts=found), "text string, start long, end long, kind string, is_secret int"))
 
 
