@@ -19,6 +19,6 @@ def link_stream(anchors: DataFrame, targets: DataFrame, path: str, checkpoint: s
         try:
             p.candidates().select("s1_id", "target_id", "strategies", "score", "rank").write.mode("overwrite").parquet(f"{path}/batch={number}")
         finally:
-            p.anchors.unpersist()
+            p.close()
 
     return anchors.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
