@@ -11,7 +11,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +20,8 @@ from kindred.llm.common import column_name, stored
 DIMENSIONS, SEED = 1024, 20240229
 #: Prototypes that workers get at once, and trigrams and languages that a worker sums up before it passes them on.
 LANGUAGE_BLOCK, HELD_TRIGRAMS, HELD_LANGUAGES = 2000, 400_000, 500
-#: Trigram vectors that a worker keeps (float32). Others are bound anew when they occur.
-KEPT_TRIGRAMS = 16_384
+#: Trigram vectors that a worker keeps (a byte for each sign). Others are bound anew when they occur. Rows widened at once.
+KEPT_TRIGRAMS, WIDENED = 16_384, 256
 
 
 def has_letter(text: str) -> bool:
@@ -34,7 +34,7 @@ class LetterVectors:
     def __init__(self, dimensions: int = DIMENSIONS, seed: int = SEED) -> None:
         self.d, self.seed, self.rows = dimensions, seed, {}
         self.known: dict[int, int] = {}
-        self.table = np.empty((KEPT_TRIGRAMS, dimensions), dtype=np.float32)
+        self.table = np.empty((KEPT_TRIGRAMS, dimensions), dtype=np.int8)
 
     def letter(self, point: int) -> np.ndarray:
         if point not in self.rows:
@@ -62,10 +62,11 @@ class LetterVectors:
                     rest.append(i)
                     at = -1
             places[i] = at
-        if not rest:
-            return (weights.astype(np.float32) @ self.table[places]).astype(np.float64)
         kept = places >= 0
-        out = (weights[kept].astype(np.float32) @ self.table[places[kept]]).astype(np.float64)
+        weight, at = weights[kept].astype(np.float32), places[kept]
+        out = np.zeros(self.d)
+        for i in range(0, len(at), WIDENED):
+            out += weight[i : i + WIDENED] @ self.table[at[i : i + WIDENED]].astype(np.float32)
         for i in rest:
             out += weights[i] * self.trigram(int(codes[i]))
         return out
@@ -91,11 +92,11 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", dimension
     return one vector a language and partition; Spark sums them by (language, coordinate).
     """
 
-    def bundled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, sums, done = LetterVectors(dimensions, seed), {}, {}
         held = 0
-        for pdf in batches:
-            for t, label in zip(pdf["text"], pdf["lang"], strict=True):
+        for batch in batches:
+            for t, label in zip((x.as_py() for x in batch["text"]), batch["lang"].to_pylist(), strict=True):  # one text at a time
                 if not has_letter(t):
                     continue
                 codes, counts = trigrams(t)
@@ -119,13 +120,13 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", dimension
             yield _vectors({label: done.pop(label)})
 
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text is not null and lang is not null")
-    sums = rows.mapInPandas(bundled, "lang string, v array<double>").select("lang", F.posexplode("v").alias("place", "x")).groupBy("lang", "place").agg(F.sum("x").alias("x"))
+    sums = rows.mapInArrow(bundled, "lang string, v array<double>").select("lang", F.posexplode("v").alias("place", "x")).groupBy("lang", "place").agg(F.sum("x").alias("x"))
     found = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "x"))).alias("p"))  # `dimensions` entries each
     return stored(found.select("lang", F.col("p.x").alias("v")), "prototypes")
 
 
-def _vectors(sums: dict[str, np.ndarray]) -> pd.DataFrame:
-    return pd.DataFrame({"lang": list(sums), "v": [v.tolist() for v in sums.values()]})
+def _vectors(sums: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"lang": pa.array(list(sums), pa.string()), "v": pa.array(list(sums.values()), pa.list_(pa.float64()))})
 
 
 def predict(docs: DataFrame, prototypes: DataFrame, text: str = "text", dimensions: int = DIMENSIONS, seed: int = SEED, block: int = LANGUAGE_BLOCK) -> DataFrame:
@@ -164,21 +165,23 @@ def _nearest(names: list[str], vectors: np.ndarray, known: int, dimensions: int,
     """A UDF: (highest cosine, minus its language's place among all, language), null for texts without a letter."""
     matrix = vectors / np.maximum(np.linalg.norm(vectors, axis=1), 1e-300)[:, None]
 
-    @F.pandas_udf("score double, place long, lang_pred string")
-    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    kind = pa.struct({"score": pa.float64(), "place": pa.int64(), "lang_pred": pa.string()})
+
+    @F.arrow_udf("score double, place long, lang_pred string")
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         letters = LetterVectors(dimensions, seed)
         for texts in batches:
             out = []
-            for t in texts:
+            for t in (x.as_py() for x in texts):  # one text at a time
                 if t is None or not has_letter(t):
-                    out.append(None)
+                    out.append({"score": None, "place": None, "lang_pred": None})
                     continue
                 v = letters.bundle(*trigrams(t))
                 cosines = np.round(matrix @ v / max(np.linalg.norm(v), 1e-300), 6)
                 k = int(cosines.argmax())
-                out.append((float(cosines[k]), -known - k, names[k]))
-            x = [o or (None, None, None) for o in out]
-            yield pd.DataFrame({"score": pd.array([o[0] for o in x], dtype="Float64"), "place": pd.array([o[1] for o in x], dtype="Int64"), "lang_pred": pd.Series([o[2] for o in x], dtype="object")})
+                out.append({"score": float(cosines[k]), "place": -known - k, "lang_pred": names[k]})
+            yield pa.array(out, kind)
+        pa.default_memory_pool().release_unused()
 
     return predicted
 

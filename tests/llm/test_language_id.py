@@ -78,3 +78,11 @@ def test_held_out_accuracy(spark):
     truth = {r[0]: r[1] for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang").collect()}
     got = [r for r in language_id.op8_language_id(spark, d).collect() if r["held_out"]]
     assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in got) >= 0.97 * len(got)
+
+
+def test_kept_trigrams_take_a_byte_a_sign():
+    """The table of a worker takes 16 MB; sums are exact whatever is kept of them."""
+    letters, text = LetterVectors(), "the house in the garden behind the house " * 3
+    assert letters.table.nbytes == 16_384 * 1024
+    codes, counts = trigrams(text)
+    assert np.array_equal(letters.bundle(codes, counts), sum(n * letters.trigram(int(c)).astype(float) for c, n in zip(codes, counts, strict=True)))
