@@ -12,7 +12,7 @@ import datetime
 import hashlib
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -21,12 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kindred.llm.common import fresh_path, stored
+from kindred.llm.common import fresh_path, stored  # noqa: F401  callers store their own runs
 
-#: An archive is closed once it has so many bytes; readers take archives whole.
+#: An archive is closed once it has so many bytes; a reader takes it from start to end.
 ROLL = 48 << 20
-#: Bytes that are inflated at once: what follows a member in its last slice is copied.
-SLICE = 1 << 14
+#: Bytes that are inflated at once (what follows a member in its last slice is copied), and that a reader's stream holds.
+SLICE, AHEAD = 1 << 14, 1 << 20
+#: Records, and bytes of their payloads, after which a reader hands on what it has.
+HELD_ROWS, HELD_BYTES = 4096, 4 << 20
 #: Index lines that one range merges, and lines that are drawn from a piece at once.
 RANGE_ROWS, STEP = 100_000, 256
 EPOCH = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
@@ -75,16 +77,17 @@ def record(page_id: int | None, url: str | None, date: str, payload: bytes, refe
     return deflate.compress(raw) + deflate.flush()
 
 
-def members(data: bytes) -> Iterator[tuple[int, bytes]]:
-    """(start, record) of each gzip member."""
-    start, view = 0, memoryview(data)
-    while start < len(data):
+def members(file: Any) -> Iterator[tuple[int, bytes]]:
+    """(start, record) of each gzip member of an open file, of which only a slice and a record are held."""
+    start, data = 0, file.read(SLICE)
+    while data:
         inflate, out, at = zlib.decompressobj(31), [], start
-        while not inflate.eof and at < len(data):
-            out.append(inflate.decompress(view[at : at + SLICE]))
-            at = min(at + SLICE, len(data))
+        while data and not inflate.eof:
+            out.append(inflate.decompress(data))
+            at += len(data) - len(inflate.unused_data)
+            data = inflate.unused_data or file.read(SLICE)
         yield start, b"".join(out)
-        start = at - len(inflate.unused_data)
+        start = at
 
 
 def parse(raw: bytes) -> dict[str, Any]:
@@ -130,8 +133,50 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def kept(df: DataFrame, work: Callable, fields: str, name: str) -> DataFrame | None:
+    """df.mapInArrow(work, fields) as a table in the shared folder, written by the workers themselves; None without rows.
+
+    Spark's writer makes a folder and sets rights for every task. On a disk without Hadoop's native library each of these
+    is a process that the executor starts, thousands for some hundred small partitions. `work` must give the same rows for
+    the same partition: a task that runs again writes the same file over the first one, under a temporary name (that
+    Spark passes over) until it is whole.
+    """
+    path, schema = fresh_path(df.sparkSession, name), _schema(fields)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs, parquet
+
+        store, root = fs.FileSystem.from_uri(path)
+        context = TaskContext.get()
+        part, file, rows = f"part-{context.partitionId():06d}.parquet", None, 0
+        for batch in work(batches):
+            if file is None and len(batch):
+                store.create_dir(root, recursive=True)
+                file = parquet.ParquetWriter(f"{root}/_{part}.{context.taskAttemptId()}", schema, compression="zstd", filesystem=store)
+            if len(batch):
+                file.write_batch(batch)
+                rows += len(batch)
+        if file is not None:
+            file.close()
+            store.move(f"{root}/_{part}.{context.taskAttemptId()}", f"{root}/{part}")
+        yield pa.RecordBatch.from_pydict({"n_rows": pa.array([rows], pa.int64())})
+
+    written = df.mapInArrow(write, "n_rows long").agg(F.sum("n_rows")).first()[0]
+    return df.sparkSession.read.schema(fields).parquet(path) if written else None
+
+
+def _sorted_pages(pages: DataFrame) -> DataFrame:
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.col("first_id").cast("long").alias("first_id"))
+    return rows.sortWithinPartitions("page_id", "url", "html")
+
+
 def write_archives(pages: DataFrame, folder: str, roll: int = ROLL) -> DataFrame:
-    """Writes rows of page_id, url, html, first_id and returns the index runs.
+    """Writes rows of page_id, url, html, first_id and returns the index runs."""
+    return _sorted_pages(pages).mapInArrow(_writer(folder, roll), INDEX)
+
+
+def _writer(folder: str, roll: int = ROLL) -> Callable:
+    """Writes a task's rows into archives and gives each archive's index lines.
 
     File names and contents depend on the partition's rows alone: a task that runs again writes the same archives over
     the first ones, under a temporary name until each is whole. A null page_id has the date of page 0.
@@ -169,32 +214,42 @@ def write_archives(pages: DataFrame, folder: str, roll: int = ROLL) -> DataFrame
         if file is not None:
             yield close()
 
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.col("first_id").cast("long").alias("first_id"))
-    return rows.sortWithinPartitions("page_id", "url", "html").mapInArrow(write, INDEX)
+    return write
+
+
+def parsed(file: Any, name: str, texts: bool = True) -> Iterator[pa.RecordBatch]:
+    """The records of an open archive in batches of at most HELD_ROWS rows and about HELD_BYTES of payload."""
+    schema, rows, held = _schema(RECORDS), [], 0
+    for start, raw in members(file):
+        x = parse(raw)
+        payload = x.pop("payload")
+        html = payload.decode() if texts and x["record_type"] == "response" else None
+        rows.append((*(x[k] for k in ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to")), name, start, html))
+        held += len(payload) if texts else 0
+        if held > HELD_BYTES or len(rows) == HELD_ROWS:
+            yield _batch(rows, schema)
+            rows, held = [], 0
+    if rows:
+        yield _batch(rows, schema)
 
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """A row per record, its length and digest checked."""
-    schema = _schema(RECORDS)
+def read_archives(spark: SparkSession, folder: str, texts: bool = True) -> DataFrame:
+    """A row per record, its length and digest checked. Without `texts`, html is null and payloads stay in the workers.
+
+    Spark deals the archives' paths, and the workers read them as streams: no task holds an archive.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
-            for k in range(len(batch)):
-                path, data = batch.column(0)[k].as_py(), batch.column(1)[k].as_buffer()
-                rows, held = [], 0
-                for start, raw in members(data):
-                    x = parse(raw)
-                    payload = x.pop("payload")
-                    html = payload.decode() if x["record_type"] == "response" else None
-                    rows.append((x["page_id"], x["url"], x["payload_bytes"], x["payload_digest"], x["record_type"], x["refers_to"], path.rpartition("/")[2], start, html))
-                    held += len(payload)
-                    if held > 16 << 20:
-                        yield _batch(rows, schema)
-                        rows, held = [], 0
-                if rows:
-                    yield _batch(rows, schema)
-
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "content").mapInArrow(read, RECORDS)
+            for path in batch.column(0).to_pylist():
+                name = path.rpartition("/")[2]
+                with store.open_input_stream(f"{root}/{name}", compression=None, buffer_size=AHEAD) as file:
+                    yield from parsed(file, name, texts)
+
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path").mapInArrow(read, RECORDS)
 
 
 def _order(line: tuple) -> tuple:
@@ -267,7 +322,8 @@ def merge_runs(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     lines from its sorted pieces a few at a time. Runs must be a stored table. An empty index stays empty.
     """
     names = [x.split()[0] for x in INDEX.split(", ")]
-    schema = _schema(f"{INDEX}, range int, place long")
+    fields = f"{INDEX}, range int, place long"
+    schema = _schema(fields)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
@@ -286,14 +342,16 @@ def merge_runs(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
 
     ranges = max(1, -(-runs.count() // range_rows))
     keys = ["urlkey", "timestamp", F.asc_nulls_last("page_id"), "archive", "start"]
-    merged = stored(runs.select(*names).repartitionByRange(ranges, *keys).mapInArrow(merge, f"{INDEX}, range int, place long"), "index")
+    merged = kept(runs.select(*names).repartitionByRange(ranges, *keys), merge, fields, "index")
+    if merged is None:
+        return runs.select(*names, F.lit(0).cast("long").alias("position"))
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
     starts = merged.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     return merged.join(starts, "range").select(*names, (F.col("first") + F.col("place")).alias("position"))
 
 
-def archive(pages: DataFrame, folder: str | None = None, least: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(records read back, merged index) of archives written for pages (page_id, url, html).
+def archive(pages: DataFrame, folder: str | None = None, least: int = 0, texts: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(records read back, merged index) of archives written for pages (page_id, url, html); html is null without `texts`.
 
     A null html is an empty payload, a null url an empty URI. A row with a null page_id has a record too: it revisits a
     page with an equal payload if one has an id, and is a response otherwise. Rows that repeat a page_id with its
@@ -301,15 +359,14 @@ def archive(pages: DataFrame, folder: str | None = None, least: int = 0) -> tupl
     """
     spark = pages.sparkSession
     folder = folder or fresh_path(spark, "warc")
-    runs = stored(write_archives(with_first_copies(pages.select("page_id", "url", "html"), least), folder), "runs")
-    if runs.isEmpty():
-        empty = spark.createDataFrame([], RECORDS)
-        return empty, runs.withColumn("position", F.lit(0).cast("long"))
-    return read_archives(spark, folder), merge_runs(runs)
+    runs = kept(_sorted_pages(with_first_copies(pages.select("page_id", "url", "html"), least)), _writer(folder), INDEX, "runs")
+    if runs is None:
+        return spark.createDataFrame([], RECORDS), spark.createDataFrame([], f"{INDEX}, position long")
+    return read_archives(spark, folder, texts), merge_runs(runs)
 
 
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records, index = archive(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+    records, index = archive(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), texts=False)
     found = records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "start")
     return found.join(index.select("archive", "start", "urlkey", "timestamp", "position"), ["archive", "start"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp", "position")
 

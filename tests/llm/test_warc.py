@@ -1,6 +1,9 @@
 import gzip
+import io
+import os
 import random
 
+import pyarrow as pa
 import pytest
 from helpers import connection, have_data, same
 
@@ -70,6 +73,80 @@ def test_ranges_are_merged_from_any_pieces(spark, range_rows):
     assert got == sorted(lines, key=warc._order)
 
 
+class Counted(io.BytesIO):
+    """A file that knows how much of it has been read and refuses to be read at once."""
+
+    def read(self, size=-1):
+        assert 0 <= size <= warc.AHEAD
+        return super().read(size)
+
+
+def test_archives_are_read_as_streams():
+    texts = [random.Random(i).randbytes(40_000).hex() if i % 3 == 0 else "ä" * i for i in range(40)]
+    date = "2024-01-01T00:00:00Z"
+    written = [warc.record(i, f"http://a/{i}", date, t.encode(), None) for i, t in enumerate(texts)]
+    starts = [sum(map(len, written[:i])) for i in range(40)]
+    file, got = Counted(b"".join(written)), []
+    for start, raw in warc.members(file):
+        assert file.tell() <= start + len(written[len(got)]) + warc.SLICE  # nothing beyond the slice that the record ends in
+        got.append((start, warc.parse(raw)["payload"].decode()))
+    assert got == list(zip(starts, texts, strict=True))
+    assert list(warc.members(Counted(b""))) == []
+
+
+def test_a_reader_holds_few_records(monkeypatch):
+    monkeypatch.setattr(warc, "HELD_ROWS", 8)
+    monkeypatch.setattr(warc, "HELD_BYTES", 1000)
+    date = "2024-01-01T00:00:00Z"
+    revisits = b"".join(warc.record(i, "http://a/", date, b"x" * 600, 0) for i in range(1, 31))  # they bring no payload
+    responses = b"".join(warc.record(i, "http://a/", date, b"x" * 600, None) for i in range(10))
+    assert [len(b) for b in warc.parsed(Counted(revisits), "a")] == [8, 8, 8, 6]
+    assert [len(b) for b in warc.parsed(Counted(responses), "a")] == [2] * 5
+    slim = list(warc.parsed(Counted(responses), "a", texts=False))
+    assert [len(b) for b in slim] == [8, 2] and all(b.column("html").null_count == len(b) for b in slim)
+
+
+def test_archives_do_not_pass_through_rows(spark, tmp_path):
+    rows = [(i, f"http://a/{i}", ["x", "<p>ä</p>" * i, None][i % 3]) for i in range(30)]
+    records, _ = warc.archive(pages(spark, rows), f"file://{tmp_path}/w")
+    assert "content" not in records._jdf.queryExecution().executedPlan().toString()
+    slim = warc.read_archives(spark, f"file://{tmp_path}/w", texts=False)
+    assert sorted(records.drop("html").collect()) == sorted(slim.drop("html").collect())
+    assert slim.filter("html IS NOT NULL").isEmpty() and records.filter("html IS NULL").count() == sum(brute(rows)[i][3] == "revisit" for i in range(30))
+
+
+def test_kept_tables_are_written_by_workers(spark):
+    def work(batches):
+        for b in batches:
+            odd = [i for i in b.column(0).to_pylist() if i % 2 and i < 75]
+            yield pa.record_batch({"name": pa.array([str(i) if i % 3 else None for i in odd], pa.string()), "n": pa.array(odd, pa.int64())})
+
+    got = warc.kept(spark.range(0, 100, 1, 4), work, "name string, n long", "t")
+    want = [(str(i) if i % 3 else None, i) for i in range(1, 75, 2)]
+    assert [tuple(r) for r in got.orderBy("n").collect()] == want
+    folder = os.path.dirname(got.inputFiles()[0].removeprefix("file:").replace("//", "/"))
+    assert sorted(os.listdir(folder)) == [f"part-{i:06d}.parquet" for i in range(3)]  # the fourth task has no rows; Spark's writer leaves more
+    with open(f"{folder}/_part-000003.parquet.7", "wb") as f:
+        f.write(b"what a task that failed has left")
+    assert [tuple(r) for r in spark.read.parquet(f"file://{folder}").orderBy("n").collect()] == want
+    assert warc.kept(spark.range(0), work, "name string, n long", "t") is None
+
+
+def test_a_task_that_fails_half_way_leaves_nothing_to_read(spark):
+    def work(batches):
+        for b in batches:
+            yield pa.record_batch({"n": b.column(0)})
+            if b.column(0)[0].as_py() >= 50:
+                raise OSError("no room")
+
+    root = warc.fresh_path(spark, "x").rpartition("/")[0].removeprefix("file://")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    with pytest.raises(Exception, match="no room"):
+        warc.kept(spark.range(0, 100, 1, 2), work, "n long", "half")
+    (name,) = set(os.listdir(root)) - before
+    assert not [f for f in os.listdir(f"{root}/{name}") if f.startswith("part-000001")]
+
+
 def test_damage_is_noticed():
     raw = gzip.decompress(warc.record(1, "http://a/", "2024-01-01T00:00:00Z", b"hello", None))
     with pytest.raises(ValueError):
