@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 #: Buckets that a group is dealt over when its rows are numbered. A hot group is then read by that many tasks.
@@ -63,6 +69,37 @@ def forget(*tables: DataFrame) -> None:
             _delete(df.sparkSession, file.rpartition("/")[0])
 
 
+def local_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+    """rows of the driver as a DataFrame, by way of Arrow.
+
+    From a list createDataFrame would take them through Python workers of another kind than those of UDFs, and each
+    executor would keep a second daemon with its workers.
+    """
+    kind = StructType.fromDDL(schema)
+    fields = to_arrow_schema(kind)
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields), kind)
+
+
+def freeing(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """work (batches to batches in a Python worker), and behind it the worker gives its free memory back to the system.
+
+    Spark keeps workers for later tasks, and what one task has freed would stay theirs.
+    """
+
+    @functools.wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def buckets_for(rows: int) -> int:
     """Enough buckets for rows of one hot group to be read in parts of half a million."""
     return max(RANK_BUCKETS, rows // 500_000)

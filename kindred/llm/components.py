@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.common import forget, stored
+from kindred.llm.common import forget, freeing, stored
 
 
 #: Up to so many edges (16 MB) one task labels them all; more take star steps.
@@ -39,7 +39,7 @@ def _in_one_task(edges: DataFrame) -> DataFrame:
         node, component = labelled(rows["a"].to_numpy(np.int64), rows["b"].to_numpy(np.int64))
         yield pd.DataFrame({"node": node, "component": component})
 
-    return edges.select("a", "b").coalesce(1).mapInPandas(label, "node long, component long")
+    return edges.select("a", "b").coalesce(1).mapInPandas(freeing(label), "node long, component long")
 
 
 def components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm.common import column_name
+from kindred.llm.common import column_name, freeing, local_table
 from kindred.llm.wordhash import CHUNK, grams, mixed, words
 
 SIMILARITY, TARGET_RECALL, SAMPLED, LEAST_WORDS = 0.8, 0.99, 2, 5
@@ -388,13 +388,13 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, tar
                 columns = zip(*found, strict=True) if found else [()] * len(schema)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-        return asked.mapInArrow(find, RESULT)
+        return asked.mapInArrow(freeing(find), RESULT)
 
     out: DataFrame | None = None
     for block in _indexes(items, similarity, target, least_words):
         found = searched(block)
         out = found if out is None else out.union(found)
-    return out if out is not None else spark.createDataFrame([], RESULT)
+    return out if out is not None else local_table(spark, [], RESULT)
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", similarity: float = SIMILARITY, target: float = TARGET_RECALL, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -411,14 +411,21 @@ def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", similar
 def _holds(index: Broadcast):
     """A UDF that says whether a text holds an item of the index."""
 
-    @F.pandas_udf("boolean")
-    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    @freeing
+    def holds(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            texts = [t or "" for t in batch]
-            found = np.zeros(len(texts), dtype=bool)
-            for a, b in _groups(texts):
-                found[[a + m[0] for m in index.value.matches(texts[a:b])]] = True
-            yield pd.Series(found)
+            found = np.zeros(len(batch), dtype=bool)
+            at, group, size = 0, [], 0
+            for i, text in enumerate(x.as_py() or "" for x in batch):  # no more texts than a group's are held
+                if group and size + len(text) > CHUNK:
+                    found[[at + m[0] for m in index.value.matches(group)]] = True
+                    at, group, size = i, [], 0
+                group.append(text)
+                size += len(text)
+            if group:
+                found[[at + m[0] for m in index.value.matches(group)]] = True
+            yield pa.array(found)
 
     return holds
 

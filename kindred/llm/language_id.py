@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm.common import column_name, stored
+from kindred.llm.common import column_name, freeing, stored
 
 DIMENSIONS, SEED = 1024, 20240229
 #: Prototypes that workers get at once, and trigrams and languages that a worker sums up before it passes them on.
@@ -120,7 +120,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", dimension
             yield _vectors({label: done.pop(label)})
 
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text is not null and lang is not null")
-    sums = rows.mapInArrow(bundled, "lang string, v array<double>").select("lang", F.posexplode("v").alias("place", "x")).groupBy("lang", "place").agg(F.sum("x").alias("x"))
+    sums = rows.mapInArrow(freeing(bundled), "lang string, v array<double>").select("lang", F.posexplode("v").alias("place", "x")).groupBy("lang", "place").agg(F.sum("x").alias("x"))
     found = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "x"))).alias("p"))  # `dimensions` entries each
     return stored(found.select("lang", F.col("p.x").alias("v")), "prototypes")
 
@@ -168,6 +168,7 @@ def _nearest(names: list[str], vectors: np.ndarray, known: int, dimensions: int,
     kind = pa.struct({"score": pa.float64(), "place": pa.int64(), "lang_pred": pa.string()})
 
     @F.arrow_udf("score double, place long, lang_pred string")
+    @freeing
     def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         letters = LetterVectors(dimensions, seed)
         for texts in batches:
@@ -181,7 +182,6 @@ def _nearest(names: list[str], vectors: np.ndarray, known: int, dimensions: int,
                 k = int(cosines.argmax())
                 out.append({"score": float(cosines[k]), "place": -known - k, "lang_pred": names[k]})
             yield pa.array(out, kind)
-        pa.default_memory_pool().release_unused()
 
     return predicted
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm.common import stored
+from kindred.llm.common import freeing, local_table, stored
 from kindred.llm.components import components
 from kindred.llm.wordhash import chunks, shingle_sets
 
@@ -67,7 +67,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int
                 yield pa.RecordBatch.from_arrays([*own, pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), _lists(small)], schema=schema)
 
     asked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
-    return asked.mapInArrow(sketched, "doc_id long, text_hash long, n_shingles long, set binary, sketch array<long>")
+    return asked.mapInArrow(freeing(sketched), "doc_id long, text_hash long, n_shingles long, set binary, sketch array<long>")
 
 
 def _lists(rows: list[np.ndarray]) -> pa.ListArray:
@@ -86,7 +86,7 @@ def whole_sets(texts: DataFrame, n: int = N) -> DataFrame:
                 columns = [batch.column(0).slice(at, len(sets)), pa.array(map(len, sets), pa.int64()), _lists([s.view(np.int64) for s in sets]), pa.array(map(_bitmap, sets), pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return texts.select("rep", "text").mapInArrow(hashed, "rep long, n long, tokens array<long>, bitmap binary")
+    return texts.select("rep", "text").mapInArrow(freeing(hashed), "rep long, n long, tokens array<long>, bitmap binary")
 
 
 def similar(pairs: DataFrame, texts: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -108,7 +108,7 @@ def similar(pairs: DataFrame, texts: DataFrame, n: int = N, percent: int = PERCE
             yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in good], pa.int64()), pa.array([b[i] for i in good], pa.int64())], names=["a", "b"])
 
     both = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("rep").alias("b"), F.col("text").alias("tb")), "b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(verified, "a long, b long")
+    return both.select("a", "b", "ta", "tb").mapInArrow(freeing(verified), "a long, b long")
 
 
 class SignatureTree:
@@ -208,7 +208,7 @@ def tree_pairs(groups: DataFrame) -> DataFrame:
             yield _cells(held, np.zeros(1, dtype=np.int64))
 
     ordered = dealt.repartition(*key).sortWithinPartitions(*key, "side", "comp", "n", "rep")
-    return ordered.mapInPandas(traversed, "a long, b long").distinct()
+    return ordered.mapInPandas(freeing(traversed), "a long, b long").distinct()
 
 
 def _cells(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
@@ -289,7 +289,7 @@ def _pivot_pairs(keys: DataFrame, turn: int) -> DataFrame:
 def join_classes(classes: DataFrame, docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """rep, component of the classes that have links. classes: rep, n, sketch (stored); docs: rep, text."""
     spark = classes.sparkSession
-    labels = spark.createDataFrame([], "rep long, component long")
+    labels = local_table(spark, [], "rep long, component long")
     places = F.least(F.col("n"), F.lit(SKETCH)) - required(F.col("n")) + 1
     keys = stored(rarest(classes.select("rep", "n", F.col("sketch").alias("tokens")), places), "keys")
     alike = keys.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")

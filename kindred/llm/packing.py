@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm.common import buckets_for, column_name, numbered, stored
+from kindred.llm.common import buckets_for, column_name, freeing, numbered, stored
 from kindred.llm.tokenize import END, VOCABULARY, Encoder
 
 CAPACITY, GROUPS, SMALL_SHARE = 1024, 128, 8
@@ -57,7 +57,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULA
             columns = zip(*rows, strict=True) if rows else [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(freeing(cut), PIECES)
 
 
 @dataclass

@@ -27,7 +27,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm.common import column_name
+from kindred.llm.common import column_name, freeing, local_table
 
 TREES, DEPTH, SEED, THRESHOLD = 40, 8, 5, 0.5
 #: Labelled findings that the forest and its tables are fitted on at most; more are sampled by hash.
@@ -239,7 +239,7 @@ class SecretFilter:
         clean = labelled.filter("text is not null and is_secret is not null")
         rows = clean.orderBy(F.xxhash64("text", "start"), "text", "start").limit(fit_rows).collect()
         table = Transitions([r["text"][r["start"] : r["end"]] for r in rows if r["is_secret"]], [r["text"][r["start"] : r["end"]] for r in rows if not r["is_secret"]])
-        data = spark.createDataFrame([(features(r["text"], r["start"], r["end"], r["kind"], table), float(r["is_secret"])) for r in rows], "x array<double>, label double")
+        data = local_table(spark, [(features(r["text"], r["start"], r["end"], r["kind"], table), float(r["is_secret"])) for r in rows], "x array<double>, label double")
         forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label")
         return SecretFilter(table, forest.fit(data.select(array_to_vector("x").alias("features"), "label").coalesce(1)))
 
@@ -257,7 +257,7 @@ class SecretFilter:
                 piece = F.substring(t, F.pmod(h, F.length(t)).cast("int") + 1, F.lit(10 * AROUND))
                 some = known.filter(h <= least[-1]).groupBy(h.alias("h")).agg(F.min(piece).alias("t"))
                 found = [r["t"] for r in some.orderBy("h").collect()]  # at most `contexts` rows
-        return SecretFilter.fit(spark, spark.createDataFrame(labelled_findings(contexts=found), "text string, start long, end long, kind string, is_secret int"))
+        return SecretFilter.fit(spark, local_table(spark, labelled_findings(contexts=found), "text string, start long, end long, kind string, is_secret int"))
 
 
 FOUND = "doc_id long, start long, end long, kind string, secret_sha256 string, text_md5 string, x array<double>"
@@ -289,7 +289,7 @@ def scan(docs: DataFrame, judge: SecretFilter, id_col: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     asked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("text is not null")
-    scored = judge.forest.transform(asked.mapInArrow(found, FOUND).withColumn("features", array_to_vector("x")))
+    scored = judge.forest.transform(asked.mapInArrow(freeing(found), FOUND).withColumn("features", array_to_vector("x")))
     score = F.round(vector_to_array("probability")[1], 6)
     return scored.select("doc_id", "start", "end", "kind", "secret_sha256", "text_md5", score.alias("score"), (score >= threshold).alias("is_secret"))
 

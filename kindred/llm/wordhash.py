@@ -12,8 +12,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text that are hashed at once; a longer text is hashed alone.
-CHUNK = 1 << 20
+#: Bytes of text that are hashed at once; a longer text is hashed alone. A byte takes some 40 bytes of arrays.
+CHUNK = 1 << 18
 _SPACES = b" \t\n\x0b\x0c\r"
 _BASE = 0x9E3779B97F4A7C15
 _RANDOM = np.random.Generator(np.random.Philox(key=11)).integers(0, 2**64, 256 + 64, dtype=np.uint64) | np.uint64(1)
@@ -23,8 +23,17 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(_SPACES)] = True
 
 
-@lru_cache(maxsize=4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """n powers or more of the base and of its inverse. Those for a chunk are kept, more are not."""
+    return _kept_powers() if n <= CHUNK else _new_powers(n)
+
+
+@lru_cache(maxsize=1)
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _new_powers(CHUNK)
+
+
+def _new_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up = np.full(n, _BASE, dtype=np.uint64)
     down = np.full(n, pow(_BASE, -1, 2**64), dtype=np.uint64)
     up[0] = down[0] = 1
@@ -68,7 +77,7 @@ def words(data: np.ndarray, ends: np.ndarray, separators: np.ndarray = _SPACE) -
     after[:-1] = inside[1:]
     after[cut[cut > 0] - 1] = False
     stops = np.flatnonzero(inside & ~after) + 1
-    up, down = _powers(1 << max(10, int(n).bit_length()))
+    up, down = _powers(n)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_RANDOM[low] * up[:n], out=sums[1:])
     return mixed((sums[stops] - sums[starts]) * down[starts]), np.searchsorted(starts, ends)
